@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
-from folioscope.llm import line_dedup, warc
+from folioscope.llm import chat_format, decontaminate, line_dedup, quality_rules, secrets, warc
 
 QUERIES = {
     "op1_line_dedup": line_dedup.op1_line_dedup,
+    "op3_quality_rules": quality_rules.op3_quality_rules,
+    "op4_chat_format": chat_format.op4_chat_format,
+    "op5_decontaminate": decontaminate.op5_decontaminate,
     "op6_warc": warc.op6_warc,
+    "op8_secret_scan": secrets.op8_secret_scan,
 }
 
 SQL = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op4_chat_format": chat_format.OP4_SQL,
     "op6_warc": warc.OP6_SQL,
 }
