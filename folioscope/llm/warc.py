@@ -37,7 +37,7 @@ from pyspark.sql.datasource import (
     WriterCommitMessage,
 )
 
-from folioscope.llm.common import Work, skew_join
+from folioscope.llm.common import Work, ship, skew_join
 
 SCHEMA = (
     "record_id string, record_type string, target_uri string, date string, content_type string, "
@@ -309,6 +309,7 @@ class WarcSource(DataSource):
 
 
 def register(spark: SparkSession) -> None:
+    ship(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     spark.dataSource.register(WarcSource)
 
