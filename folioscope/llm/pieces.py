@@ -28,6 +28,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -177,8 +178,6 @@ def encode(docs: DataFrame, model_path: str, p: float = 0.1, seed: int = 17, var
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
     """encoded with decoded: the text of its ids."""
-    import pandas as pd
-
     shared = _shared(encoded, model_path)
 
     def run(ids: pd.Series) -> pd.Series:
