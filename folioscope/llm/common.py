@@ -5,12 +5,12 @@ from __future__ import annotations
 import atexit
 import tempfile
 import uuid
-import zipfile
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioscope.shipping import ship as ship  # noqa: PLC0414  operators take it from here
+
 #: ASCII white space, the only characters that separate words or are stripped from lines.
 WS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -54,23 +54,6 @@ def _clean_up() -> None:
 atexit.register(_clean_up)
 
 
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Gives Python workers this package, for clusters where it isn't installed. Once per application."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    top = Path(__file__).resolve().parents[1]
-    path = Path(tempfile.mkdtemp()) / f"{top.name}.zip"  # Spark hands it to executors
-    with zipfile.ZipFile(path, "w") as z:
-        for f in sorted(top.rglob("*.py")):
-            z.write(f, f.relative_to(top.parent))
-    sc.addPyFile(str(path))
-    _shipped.add(sc.applicationId)
-
-
 class Work:
     """Tables written to the shared folder, which cut lineage and survive lost executors.
 
@@ -139,3 +122,4 @@ def skew_join(
         ),
     ).drop("_hot")
     return l.join(r, [*keys, "_salt"], how).drop("_salt")
+
