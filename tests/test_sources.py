@@ -1,0 +1,133 @@
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from folioscope.config import Settings
+from folioscope.functions import metrics
+from folioscope.sources import readers, writers
+from folioscope.streaming import ingest
+
+
+def put(path, value):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    path.write_text(value if isinstance(value, str) else json.dumps(value, ensure_ascii=False), encoding="utf-8")
+
+
+def test_result_documents(spark, tmp_path):
+    items = ["x", {"text": "no page"}, {"page": "2", "text": " b "}, {"page": 3.7, "text": "c"}, {"page": True, "text": "a"}, {"page": None, "text": "z"},
+             {"page": 2, "text": "b2"}, {"page": 5, "text": "  "}, {"page": 6, "text": None}, {"page": 7, "text": 12}]
+    put(tmp_path / "a" / "one.json", {"data": items})
+    put(tmp_path / "two.json", {"data": []})
+    put(tmp_path / "skip.txt", "x")
+    got = [(r.page, r.text) for r in readers.result_pages(readers.json_texts(spark, str(tmp_path))).orderBy("page").collect()]
+    assert got == [(1, "a"), (2, "b\nb2"), (3, "c"), (7, "12")]
+    put(tmp_path / "bad.json", {"data": "text"})
+    with pytest.raises(Exception, match="unexpected format"):
+        readers.result_pages(readers.json_texts(spark, str(tmp_path))).collect()
+    assert readers.result_pages(readers.json_texts(spark, str(tmp_path)), strict=False).count() == 4
+
+
+def test_question_files(spark, tmp_path):
+    put(tmp_path / "q.json", [{"question": "a?", "answer": "b"}, {"question": "c?"}])
+    assert [tuple(r) for r in readers.questions(spark, str(tmp_path / "q.json")).collect()] == [(0, "a?", "b"), (1, "c?", None)]
+    put(tmp_path / "bad.json", [{"answer": "b"}])
+    with pytest.raises(Exception, match="no question in element 1"):
+        readers.questions(spark, str(tmp_path / "bad.json")).collect()
+    put(tmp_path / "object.json", {"question": "a"})
+    with pytest.raises(Exception, match="JSON array"):
+        readers.questions(spark, str(tmp_path / "object.json")).collect()
+
+
+def test_manifest_and_registry(spark, tmp_path):
+    assert readers.manifest(spark, str(tmp_path / "none.json")).count() == 0
+    with pytest.raises(FileNotFoundError):
+        readers.manifest(spark, str(tmp_path / "none.json"), required=True)
+    assert readers.registry(spark, str(tmp_path / "none.json")).count() == 0
+    uploads = spark.createDataFrame([("b", "b.jsonl", "", 2), ("a", "a.jsonl", "id-a", 1)], "source_file string, upload_name string, file_id string, chunks_count long")
+    writers.write_manifest(uploads, "/data", str(tmp_path / "m"))
+    back = readers.manifest(spark, str(tmp_path / "m"))
+    assert [f.source_file for f in back.first().files] == ["a", "b"]
+    assert [r.file_id for r in readers.file_ids(back).collect()] == ["id-a"]
+
+
+def test_json_lines(spark, tmp_path):
+    put(tmp_path / "x.jsonl", '{"a":1}\n\n{bad\n{"a":2}\n')
+    good, bad = readers.json_line_rows(spark, str(tmp_path / "x.jsonl"))
+    assert good.count() == 2 and [r.line for r in bad.collect()] == ["{bad"]
+
+
+def test_results_round_trip(spark, tmp_path):
+    pages = spark.createDataFrame([("d", 1, None), ("d", 0, "ё\n")], "doc string, page_no int, text string")
+    writers.write_results(pages, ["doc"], str(tmp_path / "r"))
+    assert json.loads(spark.read.text(str(tmp_path / "r" / "json")).first().value) == {"data": [{"page": 1, "text": "ё\n"}, {"page": 2, "text": ""}]}
+    assert spark.read.parquet(str(tmp_path / "r" / "text")).first().text == "ё\n\n\n"
+
+
+def test_metric_report(spark, tmp_path):
+    rows = metrics.score_answers(spark.createDataFrame([("q", 'a "b"\nc', "a c"), ("r", "", "x")], "question string, answer string, model_answer string"))
+    writers.write_report(rows, str(tmp_path / "m"))
+    report = json.loads(spark.read.text(str(tmp_path / "m" / "json")).first().value)
+    assert len(report["rows"]) == 2 and "NaN" not in json.dumps(report) and set(report["mean_metrics"]) == {"bleu", "rouge1", "rouge2", "rougeL", "meteor"}
+    back = spark.read.csv(str(tmp_path / "m" / "csv"), header=True, quote='"', escape='"', multiLine=True)
+    assert {r.correct_answer for r in back.collect()} == {'a "b"\nc', None}
+
+
+def test_keys_resolve_exactly_or_without_prefix(spark):
+    keys = spark.createDataFrame([("incoming/a",), ("incoming/b",), ("incoming/c",)], "key string")
+    listing = spark.createDataFrame([("incoming/a",), ("a",), ("b",)], "path string")
+    assert {r.key: r.path for r in readers.resolve_keys(keys, listing, "incoming/").collect()} == {"incoming/a": "incoming/a", "incoming/b": "b", "incoming/c": None}
+
+
+def test_page_scan(spark):
+    docs = spark.createDataFrame([("x", b"1|2"), ("y", b"3")], "path string, content binary")
+    assert [(r.path, r.page_no, bytes(r.content)) for r in readers.page_scan(docs, lambda b: b.split(b"|")).orderBy("path", "page_no").collect()] == [("x", 0, b"1"), ("x", 1, b"2"), ("y", 0, b"3")]
+
+
+def test_settings():
+    assert Settings.from_env({}) == Settings()
+    got = Settings.from_env({"OCR_BATCH_SIZE": "3", "OCR_STRICT_MEMORY_MODE": "Yes", "OCR_SUBMIT_RPS": "0.5", "INPUT_PREFIX": ""})
+    assert (got.ocr_batch_size, got.tasks, got.ocr_submit_rps, got.input_prefix) == (3, 1, 0.5, "")
+    for bad in ({"OCR_BATCH_SIZE": "0"}, {"OCR_BATCH_SIZE": "x"}, {"OCR_MAX_BATCH_BYTES": "5"}):
+        with pytest.raises(ValueError):
+            Settings.from_env(bad)
+
+
+def test_events(spark):
+    schema = "messages array<struct<details:struct<object_id:string,bucket_id:string>>>, request_id string"
+    df = spark.createDataFrame([([(("incoming/a", "b"),), (("other/c", None),), ((None, None),)], "r")], schema)
+    keys = ingest.event_rows(df)
+    assert {r.key for r in keys.collect()} == {"incoming/a", "other/c"}
+    assert [r.key for r in ingest.wanted(keys, "incoming/").collect()] == ["incoming/a"]
+    assert ingest.wanted(keys, "").count() == 2
+
+
+def test_stream_of_documents(spark, tmp_path):
+    source, target = tmp_path / "in", tmp_path / "out"
+    put(source / "a.txt", "hello")
+    put(source / "sub" / "bad.txt", "!")
+
+    def process(docs):
+        text = F.decode("content", "utf-8")
+        return docs.select("key", text.alias("text"), F.when(text == "!", "unreadable").alias("error"))
+
+    def run():
+        q = ingest.run_ingest(spark, str(source), str(target), str(tmp_path / "ck"), process, glob="*.txt")
+        q.awaitTermination()
+        return {r.system_key: (r.status, r.error_message) for r in ingest.latest_status(spark.read.parquet(str(target / "status"))).collect()}
+
+    assert run() == {"a.txt": ("ocr_done", None), "sub/bad.txt": ("failed", "unreadable")}
+    put(source / "c.txt", "more")
+    assert run()["c.txt"] == ("ocr_done", None)
+    assert spark.read.parquet(str(target / "results")).count() == 3
+
+
+def test_stream_of_windows(spark, sf_dir, tmp_path):
+    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    (tmp_path / "events").mkdir()
+    spark.read.parquet(f"{sf_dir}/events.parquet").write.mode("overwrite").parquet(str(tmp_path / "events"))
+    stream = ingest.windowed_counts(spark.readStream.schema(schema).parquet(str(tmp_path / "events")))
+    q = stream.writeStream.outputMode("complete").format("memory").queryName("hourly").trigger(availableNow=True).start()
+    q.awaitTermination()
+    batch = ingest.windowed_counts(spark.read.parquet(f"{sf_dir}/events.parquet"))
+    assert spark.table("hourly").agg(F.sum("n")).first()[0] == batch.agg(F.sum("n")).first()[0]
