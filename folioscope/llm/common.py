@@ -123,3 +123,25 @@ def skew_join(
     ).drop("_hot")
     return l.join(r, [*keys, "_salt"], how).drop("_salt")
 
+
+#: Bits of a member filter: 2,048 rows of 4 KB, so broadcasting one is safe whatever the number of members.
+FILTER_BITS = 1 << 26
+
+
+def keep_members(df: DataFrame, column: str, members: DataFrame) -> DataFrame:
+    """Rows of df whose `column` may be among those of `members`: all that are, and few others.
+
+    A bitmap of fixed size over hashes, made by built-in aggregates, spares a
+    following join the shuffle of rows that have no partner. With very many
+    members it fills up and passes more; it never drops a member.
+    """
+    place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
+    bits = (
+        members.select(place.alias("h"))
+        .groupBy(F.bitmap_bucket_number("h").alias("_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("_bits"))
+    )
+    out = df.withColumn("_h", place).withColumn("_bucket", F.bitmap_bucket_number("_h")).join(F.broadcast(bits), "_bucket")
+    at = F.bitmap_bit_position("_h")
+    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    return out.where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*df.columns)

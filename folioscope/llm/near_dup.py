@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import Work, ship, skew_join
+from folioscope.llm.common import Work, keep_members, ship, skew_join
 
 SHINGLE = 5
 _NO_ID = -(2**63)
@@ -322,8 +322,8 @@ def near_duplicates(
         .agg(F.flatten(F.collect_list("u")).alias("units")),
         "candidates",
     )
-    # Texts of candidates, and only those, are read again and become full sets.
-    full = base.join(candidates, "doc").mapInArrow(
+    # Texts of candidates are read again and become full sets; the others stay out of the shuffle.
+    full = keep_members(base, "doc", candidates).join(candidates, "doc").mapInArrow(
         _full, "doc long, of long, s1 long, units array<struct<hub:long,bi:int,bj:int,side:int>>, shingles binary"
     )
     links = work.save(
