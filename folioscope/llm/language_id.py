@@ -154,12 +154,11 @@ class BiGRU:
             who = np.concatenate([np.full(len(q[2]), q[1]) for q in queue])
             n = np.concatenate([q[2] for q in queue])
             queue.clear()
-            order = np.argsort(-n, kind="stable")  # short spans together, so that their block ends early
             for k in range(0, len(rows), block):
-                ix = order[k : k + block]
-                x = np.ascontiguousarray(rows[ix].T[: int(n[ix].max()) + 2 * self.margin])
-                body = self.probabilities(x)[self.margin : self.margin + self.span]
-                inside = np.arange(len(body))[:, None] < n[ix][None, :]
+                ix = slice(k, k + block)
+                # Rows are always read at full length, so what a text gets never depends on its neighbours.
+                body = self.probabilities(np.ascontiguousarray(rows[ix].T))[self.margin : self.margin + self.span]
+                inside = np.arange(self.span)[:, None] < n[ix][None, :]
                 np.add.at(sums, who[ix], (body * inside[:, :, None]).sum(axis=0))
 
         held = 0
@@ -231,13 +230,12 @@ def fit(docs: DataFrame, max_docs: int = 400, max_bytes: int = 4096) -> BiGRU |
     """Trains on documents with a language that aren't held out. None if there are none."""
     from pyspark.sql import Window
 
-    ranked = (
-        docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.coalesce(held_out(), F.lit(True)))
-        .select("doc_id", "lang", F.xxhash64("doc_id").alias("h"))
-        .withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id")))
-        .where(F.col("k") <= max_docs)
-    )
-    # The filter on rank is applied within each partition before the shuffle, so a language's rows never meet in one task.
+    usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~F.coalesce(held_out(), F.lit(True)))
+    ranked = usable.select("doc_id", "lang", F.xxhash64("doc_id").alias("h")).withColumn("part", F.pmod("h", F.lit(256)))
+    # First within small parts of a language, then over what these keep, so that no task meets a whole language.
+    for by in (["lang", "part"], ["lang"]):
+        place = F.row_number().over(Window.partitionBy(*by).orderBy("h", "doc_id"))
+        ranked = ranked.withColumn("k", place).where(F.col("k") <= (max(1, -(-max_docs // 32)) if len(by) > 1 else max_docs))
     picked = ranked.groupBy("doc_id").agg(F.min("lang").alias("y"))
     # Training spans are cut from the first `max_bytes` bytes; prediction reads whole texts.
     data = F.encode("text", "utf-8")
