@@ -8,9 +8,9 @@ one weight per feature, shared by all thresholds, and ordered thresholds
 theta_1 < theta_2 < ...: P(grade > k) = sigmoid(score - theta_k). The expected
 severity is the sum of these probabilities.
 
-Grades: 0 for clean labels. Toxic labels are split in two by how dense their
-telling words are (words far likelier in toxic documents of the sample): 1 below
-the median, 2 from it on. A label column with more than two levels is used as
+Grades: 0 for clean labels. Toxic labels are split in two by how many telling
+features they have (features far likelier in toxic documents of the sample): 1
+below the median, 2 from it on. A label column with more than two levels is used as
 it is.
 
 Fitting sees at most `max_rows` labelled documents (smallest hash of doc_id): a
@@ -66,7 +66,7 @@ class Ordinal:
         return (1 / (1 + np.exp(-z))).sum(axis=1)
 
 
-def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int, epochs: int = 60, l2: float = 1e-3, seed: int = 1) -> Ordinal:
+def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int, epochs: int = 300, l2: float = 1e-3, evidence: float = 36.0) -> Ordinal:
     """Gradient descent (Adam) on the likelihood of P(grade > k) = sigmoid(w.x - theta_k).
 
     Thresholds are theta_1 plus sums of exponentials, so they stay in order.
@@ -80,12 +80,18 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int, epochs: i
     used, flat = np.unique(flat, return_inverse=True)
     all_docs = np.repeat(np.arange(len(rows)), sizes)
     toxic = grades > 0
-    hot = np.bincount(flat, weights=toxic[all_docs], minlength=len(used))
-    cold = np.bincount(flat, weights=~toxic[all_docs], minlength=len(used))
-    n_hot, n_cold = toxic.sum(), (~toxic).sum()
-    # Seen in enough toxic documents, and there clearly more often than chance allows.
-    ratio = (hot / n_hot) / ((cold + 0.5) / n_cold)
-    kept = np.flatnonzero((hot >= 4) & (ratio >= 6) & ((hot - (hot + cold) * n_hot / len(rows)) >= 3 * np.sqrt(hot) * (1 - n_hot / len(rows))))
+    # Near copies of a text count as one, else what only they share would pass for evidence.
+    _, copy, copies = np.unique(_copies(used, flat, all_docs, len(rows)), return_inverse=True, return_counts=True)
+    weight = 1 / copies[copy]
+    hot = np.bincount(flat, weights=(weight * toxic)[all_docs], minlength=len(used))
+    cold = np.bincount(flat, weights=(weight * ~toxic)[all_docs], minlength=len(used))
+    base = (weight * toxic).sum() / weight.sum()
+    # Twice the log likelihood ratio of the feature's own share of toxic texts against the general one.
+    rate = hot / np.maximum(hot + cold, 1e-12)
+    terms = [k * np.log(np.maximum(x, 1e-12) / y) for k, x, y in ((hot, rate, base), (cold, 1 - rate, 1 - base))]
+    kept = np.flatnonzero((rate > 3 * base / (1 + 2 * base)) & (2 * (terms[0] + terms[1]) >= evidence))
+    if not len(kept):  # nothing to go by
+        return Ordinal(np.zeros(1 << bits, np.float32), np.full(1, 20.0), bits)
     column = np.full(len(used), -1)
     column[kept] = np.arange(len(kept))
     col = column[flat]
@@ -109,14 +115,43 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int, epochs: i
             moments[a] = 0.9 * moments[a] + 0.1 * g
             moments[b] = 0.99 * moments[b] + 0.01 * g * g
             x -= 0.1 * (moments[a] / (1 - 0.9**t)) / (np.sqrt(moments[b] / (1 - 0.99**t)) + 1e-9)
+        np.maximum(w, 0, out=w)  # what is kept speaks for toxicity, never against it
+        gaps[0] = max(gaps[0], 0.5)  # a text without any telling feature scores 0 and stays clean
     weights = np.zeros(1 << bits, np.float32)
     weights[used[kept]] = w
     thetas = gaps[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps[1:]))])
     return Ordinal(weights, thetas, bits)
 
 
+def _copies(used: np.ndarray, flat: np.ndarray, doc: np.ndarray, n: int, bands: int = 6, width: int = 3) -> np.ndarray:
+    """A number per row, equal for rows linked by agreeing in all least hashes of some band of their rarer features."""
+    rare = np.bincount(flat, minlength=len(used))[flat] <= max(20, n // 20)
+    none = np.iinfo(np.uint64).max
+    up = list(range(n))
+
+    def find(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    for band in range(bands):
+        least = np.full((width, n), none, np.uint64)
+        for k in range(width):
+            h = (used.astype(np.uint64) + np.uint64(1 + band * width + k)) * np.uint64(0x9E3779B97F4A7C15)
+            h ^= h >> np.uint64(29)
+            h *= np.uint64(0xBF58476D1CE4E5B9)
+            h ^= h >> np.uint64(32)
+            np.minimum.at(least[k], doc[rare], h[flat[rare]])
+        first: dict[tuple, int] = {}
+        for i, x in enumerate(map(tuple, least.T.tolist())):
+            if x[0] != none:
+                up[find(i)] = find(first.setdefault(x, i))
+    return np.array([find(i) for i in range(n)])
+
+
 def grade(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
-    """Ordered grades from labels; a binary label's positives are split by density of telling features."""
+    """Ordered grades from labels; a binary label's positives are split by their number of telling features."""
     levels = np.unique(labels)
     if len(levels) != 2:
         return np.searchsorted(levels, labels)
@@ -127,8 +162,8 @@ def grade(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
     hot = np.bincount(inv, weights=toxic[doc], minlength=len(used))
     cold = np.bincount(inv, weights=~toxic[doc], minlength=len(used))
     telling = (hot >= 5) & (hot / max(toxic.sum(), 1) > 20 * cold / max((~toxic).sum(), 1))
-    density = np.bincount(doc, weights=telling[inv], minlength=len(rows)) / np.maximum([len(r) for r in rows], 1)
-    return np.where(~toxic, 0, np.where(density < np.median(density[toxic]), 1, 2))
+    n = np.bincount(doc, weights=telling[inv], minlength=len(rows))
+    return np.where(~toxic, 0, np.where(n < np.median(n[toxic]), 1, 2))
 
 
 def _sampled(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
@@ -143,7 +178,7 @@ def _sampled(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_features: int = 8000, bits: int = 20) -> Ordinal:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, max_features: int = 8000, bits: int = 20) -> Ordinal:
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
