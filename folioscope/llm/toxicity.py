@@ -123,9 +123,13 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int, epochs: i
     return Ordinal(weights, thetas, bits)
 
 
-def _copies(used: np.ndarray, flat: np.ndarray, doc: np.ndarray, n: int, bands: int = 6, width: int = 3) -> np.ndarray:
-    """A number per row, equal for rows linked by agreeing in all least hashes of some band of their rarer features."""
+def _copies(used: np.ndarray, flat: np.ndarray, doc: np.ndarray, n: int, bands: int = 6, width: int = 3, least_features: int = 10) -> np.ndarray:
+    """A number per row, equal for rows linked by agreeing in all least hashes of some band of their rarer features.
+
+    Rows with very few of these are taken as they are.
+    """
     rare = np.bincount(flat, minlength=len(used))[flat] <= max(20, n // 20)
+    rare &= np.bincount(doc[rare], minlength=n)[doc] >= least_features
     none = np.iinfo(np.uint64).max
     up = list(range(n))
 
