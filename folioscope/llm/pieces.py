@@ -11,8 +11,10 @@ of the public library.
 Decoding concatenates the pieces' bytes and is exact for every text: characters
 without a piece, line feeds and the space mark itself go out as byte pieces.
 
-The text is cut before runs of spaces and at line feeds, which no piece
-crosses, and the parts' ids are remembered per worker in a bounded table. The
+The text is cut at places that no piece of the vocabulary crosses (before runs
+of spaces, at line feeds, and between letters, digits and signs where the
+vocabulary has no such piece), and the parts' ids are remembered per worker in a
+bounded table. The
 vocabulary (a fixed file) is read on the driver and broadcast.
 
 Defined cases: null and empty texts have no pieces; a null doc_id has variant 0;
@@ -37,21 +39,26 @@ from folioscope.llm.common import ship
 
 _MARK = "▁"
 _PART = re.compile(f"\n|{_MARK}| *[^ \n{_MARK}]+| +")
+_FINE = re.compile("\n| *[^\\W\\d_]+|\\d| *(?:[^\\w\n ]|_)+| +")
 _M64 = (1 << 64) - 1
 
 
 @dataclass
 class Vocabulary:
-    """score: piece (spaces as spaces) to its score; ids: piece to id; table: id to its bytes."""
+    """scores: piece (spaces as spaces) to its score; ids: piece to id; table: id to its bytes; cut: the
+    parts of a text, unless it holds a character of `odd`."""
 
     scores: dict[str, float]
     ids: dict[str, int]
     byte_ids: list[int]
     table: list[bytes]
+    cut: re.Pattern
+    odd: set[str]
     caches: dict = field(default_factory=dict)
+    tables: tuple | None = None
 
     def __getstate__(self):
-        return self.__dict__ | {"caches": {}}
+        return self.__dict__ | {"caches": {}, "tables": None}
 
     @classmethod
     def load(cls, path: str) -> Vocabulary:
@@ -71,14 +78,44 @@ class Vocabulary:
                 own = piece.replace(_MARK, " ")
                 scores[own], ids[own] = sp.get_score(i), i
                 table.append(own.encode())
-        return cls(scores, ids, byte_ids, table)
-
-    def merge(self, part: str, p: float, key: int) -> list[int]:
-        """Ids of one part. key: what the dropout of this part hangs on."""
+        # Where no piece crosses a change from letters to digits or signs, texts may be cut there too.
+        odd = {c for piece in ids if not _FINE.fullmatch(piece) for c in piece if c.isalnum()}
+        return cls(scores, ids, byte_ids, table, _FINE if len(odd) <= 64 else _PART, odd if len(odd) <= 64 else set())
+
+    def merge(self, part: str, p: float, key: int) -> bytes:
+        """Ids of one part as packed int32. key: what the dropout of this part hangs on."""
+        scores, none = self.scores, float("inf")
+        symbols = list(part)
+        places = list(range(len(symbols)))
+        # The agenda: for each neighbouring pair its negated score, or none. Parts are words, so a scan beats a heap.
+        agenda = [-scores[s] if (s := a + b) in scores else none for a, b in zip(symbols, symbols[1:], strict=False)]
+        if len(symbols) > 64:
+            return self._merge_long(part, p, key)
+        limit = int(p * (1 << 32))
+        while agenda and (best := min(agenda)) != none:
+            i = agenda.index(best)
+            if limit and self.skipped(key, best, places[i]) < limit:
+                agenda[i] = none
+                continue
+            merged = symbols[i] + symbols[i + 1]
+            symbols[i : i + 2] = [merged]
+            del places[i + 1], agenda[i]
+            if i:
+                agenda[i - 1] = -scores[s] if (s := symbols[i - 1] + merged) in scores else none
+            if i < len(agenda):
+                agenda[i] = -scores[s] if (s := merged + symbols[i + 1]) in scores else none
+        return self._packed(symbols)
+
+    @staticmethod
+    def skipped(key: int, score: float, place: int) -> int:
+        """32 bits by which a candidate is skipped: a keyed hash of its pair and place."""
+        return ((key ^ int(score) << 24 ^ place) * 0x9E3779B97F4A7C15 & _M64) >> 32
+
+    def _merge_long(self, part: str, p: float, key: int) -> bytes:
+        """The same with a heap, for runs in which a scan per merge would cost the square of their length."""
+        scores, limit, n = self.scores, int(p * (1 << 32)), len(part)
         symbols: list[str | None] = list(part)
-        n = len(symbols)
         before, after = list(range(-1, n - 1)), [*range(1, n), -1]
-        scores = self.scores
         agenda: list[tuple[float, int, int]] = []
 
         def offer(i: int, j: int) -> None:
@@ -87,18 +124,13 @@ class Vocabulary:
 
         for i in range(n - 1):
             offer(i, i + 1)
-        limit = int(p * (1 << 32))
         while agenda:
-            s, i, size = heapq.heappop(agenda)
+            best, i, size = heapq.heappop(agenda)
             j = after[i]
             if symbols[i] is None or j < 0 or len(symbols[i]) + len(symbols[j]) != size:
                 continue
-            if limit:
-                x = (key ^ (int(s) * 0x9E3779B97F4A7C15 + i * 0xC2B2AE3D27D4EB4F + size)) & _M64
-                x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & _M64
-                x = ((x ^ (x >> 32)) * 0xD6E8FEB86659FD93) & _M64
-                if x >> 32 < limit:
-                    continue
+            if limit and self.skipped(key, best, i) < limit:
+                continue
             symbols[i] += symbols[j]
             symbols[j] = None
             after[i] = after[j]
@@ -106,32 +138,156 @@ class Vocabulary:
                 before[after[j]] = i
             offer(before[i], i)
             offer(i, after[i])
-        out: list[int] = []
-        for x in symbols:
-            if x is not None:
-                if (k := self.ids.get(x)) is not None:
-                    out.append(k)
-                else:
-                    out.extend(self.byte_ids[b] for b in x.encode())
-        return out
+        return self._packed([s for s in symbols if s is not None])
 
-    def encode(self, text: str, p: float = 0.0, seed: int = 0, variant: int = 0, remember: int = 300_000) -> array:
+    def _packed(self, symbols: list[str]) -> bytes:
+        out = array("i")
+        for s in symbols:
+            if (k := self.ids.get(s)) is not None:
+                out.append(k)
+            else:
+                out.extend([self.byte_ids[b] for b in s.encode()])
+        return out.tobytes()
+
+    def merge_all(self, parts: list[str], p: float, salt: int) -> list[bytes]:
+        """merge() of many parts at once: each step takes the best candidate of every part, as array operations."""
         import xxhash
 
-        out = array("i")
+        out: list[bytes] = [b""] * len(parts)
+        chars = self._tables()[0]
+        order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
+        for lo, hi in ((1, 6), (7, 10), (11, 16), (17, 32), (33, 64)):
+            picked = [i for i in order if lo <= len(parts[i]) <= hi]
+            for at in range(0, len(picked), 8192):
+                ix = picked[at : at + 8192]
+                sizes = np.array([len(parts[i]) for i in ix])
+                codes = np.frombuffer("".join([parts[i] for i in ix]).encode("utf-32-le"), np.uint32)
+                inside = np.arange(int(sizes.max()))[None, :] < sizes[:, None]
+                symbols = np.full(inside.shape, -1, np.int32)
+                symbols[inside] = chars[codes]
+                known = ((symbols >= 0) | ~inside).all(axis=1)
+                keys = np.array([xxhash.xxh3_64_intdigest(parts[i], salt) for i in ix], np.uint64) if p else np.zeros(len(ix), np.uint64)
+                good = np.flatnonzero(known)
+                flat, ends = self._merge_rows(symbols[good], inside[good], keys[good], int(p * (1 << 32)))
+                raw = flat.astype(np.int32).tobytes()
+                for k, a, b in zip(good.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=False):
+                    out[ix[k]] = raw[4 * a : 4 * b]
+                for k in np.flatnonzero(~known).tolist():  # a character without a piece
+                    out[ix[k]] = self.merge(parts[ix[k]], p, int(keys[k]))
+        for i in order:
+            if len(parts[i]) > 64:
+                out[i] = self.merge(parts[i], p, xxhash.xxh3_64_intdigest(parts[i], salt) if p else 0)
+        return out
+
+    def _merge_rows(self, sym: np.ndarray, alive: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
+        n, width = sym.shape
+        if not n:
+            return np.zeros(0, np.int32), np.zeros(0, np.int64)
+        nxt = np.tile(np.arange(1, width + 1), (n, 1))
+        nxt[~np.pad(alive, ((0, 0), (0, 1)))[:, 1:]] = -1
+        prv = np.tile(np.arange(-1, width - 1), (n, 1))
+        cost, made = np.full((n, width), np.inf), np.zeros((n, width), np.int32)
+        r, i = np.nonzero(alive & (nxt >= 0))
+        cost[r, i], made[r, i] = self._pairs(sym[r, i], sym[r, i + 1])
+        rows = np.arange(n)
+        while len(rows):
+            i = cost[rows].argmin(axis=1)  # the first of equals
+            best = cost[rows, i]
+            on = best < np.inf
+            rows, i, best = rows[on], i[on], best[on]
+            if limit and len(rows):
+                x = (keys[rows] ^ (best.astype(np.int64) << 24).view(np.uint64) ^ i.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                skip = (x >> np.uint64(32)) < np.uint64(limit)
+                cost[rows[skip], i[skip]] = np.inf
+                r, i = rows[~skip], i[~skip]
+            else:
+                r = rows
+            j = nxt[r, i]
+            sym[r, i] = made[r, i]
+            alive[r, j] = False
+            cost[r, j] = np.inf
+            k = nxt[r, j]
+            nxt[r, i] = k
+            cost[r, i] = np.inf
+            on = k >= 0
+            prv[r[on], k[on]] = i[on]
+            cost[r[on], i[on]], made[r[on], i[on]] = self._pairs(sym[r[on], i[on]], sym[r[on], k[on]])
+            b = prv[r, i]
+            on = b >= 0
+            cost[r[on], b[on]], made[r[on], b[on]] = self._pairs(sym[r[on], b[on]], sym[r[on], i[on]])
+        return sym[alive], np.cumsum(alive.sum(axis=1))
+
+    def _pairs(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Negated scores and merged ids of pairs of pieces; infinite where there is no such piece."""
+        _, slots, costs, pieces = self._tables()
+        want = a.astype(np.int64) << 32 | b
+        at = self._slot(want, len(slots))
+        cost, made = np.full(len(want), np.inf), np.zeros(len(want), np.int32)
+        left = np.arange(len(want))
+        while len(left):
+            held = slots[at[left]]
+            hit = held == want[left]
+            cost[left[hit]], made[left[hit]] = costs[at[left[hit]]], pieces[at[left[hit]]]
+            left = left[~hit & (held != -1)]
+            at[left] = (at[left] + 1) & (len(slots) - 1)
+        return cost, made
+
+    @staticmethod
+    def _slot(want: np.ndarray, size: int) -> np.ndarray:
+        return ((want.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(40)).astype(np.int64) & (size - 1)
+
+    def _tables(self):
+        """Per process: code point to piece, and an open-addressed table of the pairs that merge."""
+        if self.tables is None:
+            chars = np.full(0x110000, -1, np.int32)
+            pairs = {}
+            for piece, k in self.ids.items():
+                if len(piece) == 1:
+                    chars[ord(piece)] = k
+                for c in range(1, len(piece)):
+                    if (a := self.ids.get(piece[:c])) is not None and (b := self.ids.get(piece[c:])) is not None:
+                        pairs[a << 32 | b] = (-self.scores[piece], k)
+            size = 1 << max(4, (4 * len(pairs)).bit_length())
+            slots, costs, pieces = np.full(size, -1, np.int64), np.full(size, np.inf), np.zeros(size, np.int32)
+            starts = self._slot(np.array(list(pairs), np.int64), size).tolist() if pairs else []
+            for at, (want, (cost, k)) in zip(starts, pairs.items(), strict=True):
+                while slots[at] != -1:
+                    at = (at + 1) & (size - 1)
+                slots[at], costs[at], pieces[at] = want, cost, k
+            self.tables = (chars, slots, costs, pieces)
+        return self.tables
+
+    def encode_batch(self, texts: list[str], kinds: list[int], p: float, seed: int, remember: int = 300_000) -> list[bytes]:
+        """encode() of many texts, each with its variant: new parts of all of them are merged together."""
+        parts = [self._parts(t) for t in texts]
+        for kind in set(kinds):
+            known = self.caches.setdefault((p, seed, kind), {})
+            if len(known) > remember // max(1, len(self.caches)):
+                known.clear()
+            new = list({x for ps, k in zip(parts, kinds, strict=True) if k == kind for x in ps if x not in known})
+            known.update(zip(new, self.merge_all(new, p, self._salt(seed, kind)), strict=True))
+        out = [b"".join(map(self.caches[p, seed, k].__getitem__, ps)) for ps, k in zip(parts, kinds, strict=True)]
+        for known in self.caches.values():
+            for x in [x for x in known if len(x) > 64]:
+                del known[x]
+        return out
+
+    def _parts(self, text: str) -> list[str]:
         if not text:
-            return out
-        known = self.caches.setdefault((p, seed, variant), {})
-        for part in _PART.findall(" " + text):
-            ids = known.get(part)
-            if ids is None:
-                key = xxhash.xxh3_64_intdigest(part, seed * 1_000_003 + variant & _M64) if p else 0
-                ids = array("i", self.merge(part, p, key))
-                if len(part) <= 64:
-                    if len(known) >= remember:
-                        known.clear()
-                    known[part] = ids
-            out.extend(ids)
+            return []
+        return (self.cut if self.odd.isdisjoint(text) else _PART).findall(" " + text)
+
+    @staticmethod
+    def _salt(seed: int, variant: int) -> int:
+        return seed * 1_000_003 + variant & _M64
+
+    def encode(self, text: str, p: float = 0.0, seed: int = 0, variant: int = 0) -> list[int]:
+        """Ids of one text."""
+        import xxhash
+
+        salt, out = self._salt(seed, variant), []
+        for part in self._parts(text):
+            out.extend(np.frombuffer(self.merge(part, p, xxhash.xxh3_64_intdigest(part, salt) if p else 0), np.int32).tolist())
         return out
 
     def decode(self, ids: list[int]) -> str:
@@ -156,24 +312,25 @@ def default_model() -> str:
 
 
 def encode(docs: DataFrame, model_path: str, p: float = 0.1, seed: int = 17, variants: int = 4) -> DataFrame:
-    """(doc_id, variant, ids, text) per row of docs: the text goes on for a check of the round trip."""
+    """(doc_id, variant, ids, lossless) per row of docs. lossless: decoding the ids gave the text again."""
     shared = _shared(docs, model_path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = shared.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 1000):  # keeps what is held per step small
-                b = whole.slice(at, 1000)
-                flat, ends, kinds = array("i"), [0], []
-                for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
-                    kind = _variant(doc_id, seed, variants)
-                    flat.extend(v.encode(text or "", p, seed, kind, 600_000 // variants))
-                    ends.append(len(flat))
-                    kinds.append(kind)
-                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))
-                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(kinds, pa.int32()), ids, b.column("text")], names=["doc_id", "variant", "ids", "text"])
+            for at in range(0, whole.num_rows, 500):  # keeps what is held per step small
+                b = whole.slice(at, 500)
+                kinds = [_variant(x, seed, variants) for x in b.column("doc_id").to_pylist()]
+                texts = [t or "" for t in b.column("text").to_pylist()]
+                coded = v.encode_batch(texts, kinds, p, seed)
+                ends = np.cumsum([0, *(len(x) // 4 for x in coded)])
+                flat = np.frombuffer(b"".join(coded), np.int32)
+                back = [v.decode(flat[i:j].tolist()) == t for i, j, t in zip(ends[:-1], ends[1:], texts, strict=True)]
+                ids = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
+                yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(kinds, pa.int32()), ids, pa.array(back)], names=["doc_id", "variant", "ids", "lossless"])
 
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(run, "doc_id long, variant int, ids array<int>, text string")
+    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "doc_id long, variant int, ids array<int>, lossless boolean")
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:
@@ -189,14 +346,7 @@ def decode(encoded: DataFrame, model_path: str) -> DataFrame:
 
 def round_trip(docs: DataFrame, model_path: str, **parameters) -> DataFrame:
     """Ids of every document, and whether decoding them gives its text again."""
-    out = decode(encode(docs, model_path, **parameters), model_path)
-    return out.select(
-        "doc_id",
-        "variant",
-        F.size("ids").cast("bigint").alias("n_pieces"),
-        (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"),
-        "ids",
-    )
+    return encode(docs, model_path, **parameters).select("doc_id", "variant", F.size("ids").cast("bigint").alias("n_pieces"), "lossless", "ids")
 
 
 def op7_pieces(spark, sf_dir: str) -> DataFrame:
