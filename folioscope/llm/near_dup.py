@@ -361,3 +361,23 @@ def op2_near_dup(spark, sf_dir: str) -> DataFrame:
     return found.select(
         real("doc").alias("doc_id"), F.col("n").alias("n_shingles"), real("component").alias("component_id"), (F.col("doc") == F.col("component")).alias("kept")
     )
+
+
+#: Every pair that shares a shingle is counted and the links' closure taken: for small tables.
+OP2_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS g
+  FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 4, 1) + 1)) AS i FROM w WHERE len(ws) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), links AS (
+  SELECT p.a, p.b FROM pairs p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * p.c >= 85 * (x.n + y.n - p.c)
+), steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links
+), reach(a, b) AS (SELECT a, b FROM steps UNION SELECT r.a, s.b FROM reach r JOIN steps s ON s.a = r.b
+), least AS (SELECT a, min(b) AS m FROM reach GROUP BY a)
+SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, least(w.doc_id, coalesce(l.m, w.doc_id)) AS component_id, w.doc_id <= coalesce(l.m, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN least l ON l.a = w.doc_id
+"""

@@ -31,6 +31,8 @@ QUERIES = {
 #: Operators that SQL can't express (learned models, estimates, dropout) are tested by brute force instead.
 SQL = {
     "op1_line_dedup": line_dedup.OP1_SQL,
+    "op2_near_dup": near_dup.OP2_SQL,
     "op4_chat_format": chat_format.OP4_SQL,
     "op6_warc": warc.OP6_SQL,
+    "op8_secret_scan": secrets.OP8_SQL,
 }

@@ -148,3 +148,47 @@ def op8_secret_scan(spark, sf_dir: str) -> DataFrame:
         F.sha2(joined_spans(KINDS[:3]), 256).alias("base_sha256"),
         joined_spans(KINDS).alias("spans"),
     )
+
+
+def _sql_spans(name: str, pattern: str, group: int, keep: str) -> str:
+    """A table of spans in SQL: positions are sums over the lengths of gaps and matches before."""
+    p = pattern.replace("'", "''")
+    return f"""{name}_m AS (
+  SELECT doc_id, string_split_regex(t, '{p}') AS gaps, regexp_extract_all(t, '{p}') AS ms, regexp_extract_all(t, '{p}', {group}) AS vs FROM d
+), {name} AS (
+  SELECT doc_id, s, s + length(m) AS e, v FROM (
+    SELECT doc_id, ms[i] AS m, vs[i] AS v, list_sum(list_transform(gaps[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(ms[1:i - 1], lambda x: length(x))), 0) AS s
+    FROM (SELECT *, unnest(range(1, len(ms) + 1)) AS i FROM {name}_m)) WHERE {keep}
+)"""
+
+
+def _any_case(word: str) -> str:
+    return "".join(f"[{c.upper()}{c}]" if c.isalpha() else c for c in word)
+
+
+def _op8_sql() -> str:
+    names = "|".join(_any_case(w) for w in ("password", "passwd", "secret", "token", "api_?key"))
+    assign = f"({names})[\"']?\\x20*[:=]\\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
+    spans = [
+        _sql_spans("assign", assign, 2, f"length(v) >= {SHORTEST['assign']}"),
+        _sql_spans("access", ACCESS, 0, f"length(v) >= {SHORTEST['access']}"),
+        _sql_spans("hex", HEX, 0, f"length(v) >= {SHORTEST['hex']}"),
+        _sql_spans("candidate", CANDIDATE, 0, " AND ".join(f"NOT regexp_matches(v, '{p}')" for p in ALLOW)),
+    ]
+    kinds = " UNION ALL ".join(f"SELECT doc_id, {i} AS k, '{k}' AS kind, s, e FROM {k}" for i, k in enumerate(KINDS))
+    return f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents), {", ".join(spans)}, entropy AS (
+  SELECT doc_id, s, e FROM (SELECT doc_id, s, e, v, unnest(range(1, length(v) - {WINDOW} + 2)) AS j FROM candidate) GROUP BY doc_id, s, e, v
+  HAVING max(list_aggregate(string_split(substr(v, CAST(j AS BIGINT), {WINDOW}), ''), 'entropy')) >=
+    CASE WHEN regexp_matches(v, '^[0-9a-f]+$') OR regexp_matches(v, '^[0-9A-F]+$') THEN {THRESHOLDS["hex"]}
+      WHEN regexp_matches(v, '[a-z]') AND regexp_matches(v, '[A-Z]') THEN {THRESHOLDS["mixed"]} ELSE {THRESHOLDS["single"]} END
+), spans AS ({kinds}), base AS (
+  SELECT doc_id, count(*) FILTER (k = 0) AS n_assign, count(*) FILTER (k = 1) AS n_access, count(*) FILTER (k = 2) AS n_hex,
+    string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) FILTER (k < 3) AS b, string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, k, e) AS a
+  FROM spans GROUP BY doc_id
+)
+SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(b, '')) AS base_sha256, coalesce(a, '') AS spans
+FROM d LEFT JOIN base ON base.doc_id = d.doc_id"""
+
+
+OP8_SQL = _op8_sql()

@@ -113,3 +113,9 @@ def test_components(spark):
     df = spark.createDataFrame(edges, "a long, b long")
     got = {r.node: r.label for r in nd.connected_components(df, Work(spark, "test")).collect()}
     assert got == {x: find(x) for e in edges for x in e if any(a != b and x in (a, b) for a, b in edges)}
+
+
+def test_query_equals_sql(spark, sf_dir, duck):
+    from llm_oracle import compare
+
+    compare("op2_near_dup", spark, sf_dir, duck)

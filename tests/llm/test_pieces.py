@@ -59,4 +59,6 @@ def test_frames(spark, messy, messy_rows, nothing):
     got = pc.round_trip(messy, pc.default_model()).collect()
     assert len(got) == len(messy_rows) and all(r.lossless for r in got)
     assert {r.doc_id: r.n_pieces for r in got if r.doc_id in (1, 2)} == {1: 0, 2: 0}
+    decoded = pc.decode(pc.encode(messy, pc.default_model()), pc.default_model())
+    assert sorted(r.decoded for r in decoded.collect()) == sorted(t or "" for _, t in messy_rows)
     assert pc.round_trip(nothing, pc.default_model()).count() == 0

@@ -76,3 +76,9 @@ def test_query(spark, sf_dir):
     for r in QUERIES["op8_secret_scan"](spark, sf_dir).collect():
         assert r.spans == joined(base(texts[r.doc_id]) + entropy(texts[r.doc_id]))
         assert [r.n_assign, r.n_access, r.n_hex] == [sum(k == i for _, k, _ in base(texts[r.doc_id])) for i in range(3)]
+
+
+def test_query_equals_sql(spark, sf_dir, duck):
+    from llm_oracle import compare
+
+    compare("op8_secret_scan", spark, sf_dir, duck)
