@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import metrics
 from folioscope.functions.arrays import cosine
 from folioscope.functions.text import base64_line, page_number, stem, strip_prefix
-from folioscope.operators import chunking, merge, recognition, retrieval
+from folioscope.operators import chunking, merge, recognition, retrieval, searchable
 from folioscope.operators import pages as pg
 from folioscope.plans.tables import answer_pairs, indexed_pages, pages, table
 from folioscope.streaming import ingest
@@ -291,6 +291,21 @@ def recognition_run(spark, sf_dir) -> DataFrame:
     return pg.positional_left_join(numbered, parsed, group).select("doc", "page_no", "ok", "text")
 
 
+@query("SELECT conv_id AS doc, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS page_no, text FROM conversations")
+def searchable_pdfs(spark, sf_dir) -> DataFrame:
+    """Every conversation as a PDF with a text layer, merged page by page in a tree, and its layers read back."""
+    p = pages(spark, sf_dir)
+    size = F.char_length("text").cast("double")
+    block = F.struct(F.col("text").alias("text"), F.lit(0.0).alias("x_min"), F.lit(10.0).alias("y_min"), size.alias("x_max"), F.lit(19.0).alias("y_max"))
+    dims = F.struct(F.lit(1000.0).alias("ocr_width"), F.lit(1400.0).alias("ocr_height"))
+    ix = F.row_number().over(Window.partitionBy("doc").orderBy("page_no")) - 1
+    drawn = searchable.page_pdfs(
+        p.select("doc", ix.alias("ix"), F.array(block).alias("blocks"), dims.alias("dims"), F.lit(None).cast("binary").alias("jpeg"), F.lit(595.0).alias("width"), F.lit(842.0).alias("height"))
+    )
+    files = searchable.document_pdfs(drawn, "doc", "ix")
+    return files.select("doc", F.posexplode(searchable.text_layers(F.col("pdf"))).alias("page_no", "text"))
+
+
 # Keys, status, registries -------------------------------------------------------------------
 
 
