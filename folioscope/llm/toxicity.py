@@ -66,7 +66,27 @@ class Ordinal:
         return (1 / (1 + np.exp(-z))).sum(axis=1)
 
 
-def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int, epochs: int = 300, l2: float = 1e-3, evidence: float = 36.0) -> Ordinal:
+class Sparse:
+    """Rows of features as coordinates: feature used[flat[k]] is in row doc[k]. 32-bit, as the driver's memory is small."""
+
+    def __init__(self, rows: list[np.ndarray]) -> None:
+        sizes = np.array([len(r) for r in rows], np.int64)
+        flat = np.concatenate(rows).astype(np.int32) if sizes.sum() else np.zeros(0, np.int32)
+        self.n = len(rows)
+        self.used = np.unique(flat)
+        self.flat = np.searchsorted(self.used, flat).astype(np.int32)
+        self.doc = np.repeat(np.arange(self.n, dtype=np.int32), sizes)
+
+    def sums(self, per_doc: np.ndarray) -> np.ndarray:
+        """Per feature, the sum of a value of its rows."""
+        out = np.zeros(len(self.used))
+        step = 1 << 20  # pieces, so that no long temporary arises
+        for a in range(0, len(self.flat), step):
+            out += np.bincount(self.flat[a : a + step], weights=per_doc[self.doc[a : a + step]], minlength=len(self.used))
+        return out
+
+
+def fit_ordinal(table: Sparse, grades: np.ndarray, bits: int, epochs: int = 300, l2: float = 1e-3, evidence: float = 36.0) -> Ordinal:
     """Gradient descent (Adam) on the likelihood of P(grade > k) = sigmoid(w.x - theta_k).
 
     Thresholds are theta_1 plus sums of exponentials, so they stay in order.
@@ -75,16 +95,12 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int, epochs: i
     levels = int(grades.max()) if len(grades) else 0
     if levels == 0 or (grades == 0).all() or (grades > 0).all():
         return Ordinal(np.zeros(1 << bits, np.float32), np.full(1, 20.0), bits)
-    sizes = np.array([len(r) for r in rows])
-    flat = np.concatenate(rows) if sizes.sum() else np.zeros(0, np.int64)
-    used, flat = np.unique(flat, return_inverse=True)
-    all_docs = np.repeat(np.arange(len(rows)), sizes)
+    used, n = table.used, table.n
     toxic = grades > 0
     # Near copies of a text count as one, else what only they share would pass for evidence.
-    _, copy, copies = np.unique(_copies(used, flat, all_docs, len(rows)), return_inverse=True, return_counts=True)
+    _, copy, copies = np.unique(_copies(table), return_inverse=True, return_counts=True)
     weight = 1 / copies[copy]
-    hot = np.bincount(flat, weights=(weight * toxic)[all_docs], minlength=len(used))
-    cold = np.bincount(flat, weights=(weight * ~toxic)[all_docs], minlength=len(used))
+    hot, cold = table.sums(weight * toxic), table.sums(weight * ~toxic)
     base = (weight * toxic).sum() / weight.sum()
     # Twice the log likelihood ratio of the feature's own share of toxic texts against the general one.
     rate = hot / np.maximum(hot + cold, 1e-12)
@@ -92,10 +108,10 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int, epochs: i
     kept = np.flatnonzero((rate > 3 * base / (1 + 2 * base)) & (2 * (terms[0] + terms[1]) >= evidence))
     if not len(kept):  # nothing to go by
         return Ordinal(np.zeros(1 << bits, np.float32), np.full(1, 20.0), bits)
-    column = np.full(len(used), -1)
+    column = np.full(len(used), -1, np.int32)
     column[kept] = np.arange(len(kept))
-    col = column[flat]
-    doc, col = all_docs[col >= 0], col[col >= 0]
+    on = column[table.flat] >= 0
+    doc, col = table.doc[on], column[table.flat[on]]
     share = np.bincount(grades, minlength=levels + 1)
     importance = (len(grades) / (levels + 1) / np.maximum(share, 1))[grades]
     w = np.zeros(len(kept))
@@ -105,10 +121,10 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int, epochs: i
     above = (grades[:, None] > np.arange(levels)[None, :]).astype(float)
     for t in range(1, epochs + 1):
         thetas = gaps[0] + np.concatenate([[0.0], np.cumsum(np.exp(gaps[1:]))])
-        score = np.bincount(doc, weights=w[col], minlength=len(rows))
+        score = np.bincount(doc, weights=w[col], minlength=n)
         p = 1 / (1 + np.exp(-np.clip(score[:, None] - thetas[None, :], -40, 40)))
-        d = (p - above) * importance[:, None] / len(rows)
-        g_w = np.bincount(col, weights=d.sum(axis=1)[doc], minlength=len(w)) + l2 / len(rows) * w
+        d = (p - above) * importance[:, None] / n
+        g_w = np.bincount(col, weights=d.sum(axis=1)[doc], minlength=len(w)) + l2 / n * w
         g_theta = -d.sum(axis=0)
         g_gap = np.concatenate([[g_theta.sum()], np.exp(gaps[1:]) * np.cumsum(g_theta[::-1])[::-1][1:]])
         for x, g, a, b in ((w, g_w, 0, 1), (gaps, g_gap, 2, 3)):
@@ -123,13 +139,16 @@ def fit_ordinal(rows: list[np.ndarray], grades: np.ndarray, bits: int, epochs: i
     return Ordinal(weights, thetas, bits)
 
 
-def _copies(used: np.ndarray, flat: np.ndarray, doc: np.ndarray, n: int, bands: int = 6, width: int = 3, least_features: int = 10) -> np.ndarray:
+def _copies(table: Sparse, bands: int = 6, width: int = 3, least_features: int = 10) -> np.ndarray:
     """A number per row, equal for rows linked by agreeing in all least hashes of some band of their rarer features.
 
     Rows with very few of these are taken as they are.
     """
-    rare = np.bincount(flat, minlength=len(used))[flat] <= max(20, n // 20)
-    rare &= np.bincount(doc[rare], minlength=n)[doc] >= least_features
+    n = table.n
+    rare = np.bincount(table.flat, minlength=len(table.used))[table.flat] <= max(20, n // 20)
+    rare &= np.bincount(table.doc[rare], minlength=n)[table.doc] >= least_features
+    flat, starts = table.flat[rare], np.flatnonzero(np.diff(table.doc[rare], prepend=-1))
+    owners = table.doc[rare][starts]
     none = np.iinfo(np.uint64).max
     up = list(range(n))
 
@@ -142,11 +161,12 @@ def _copies(used: np.ndarray, flat: np.ndarray, doc: np.ndarray, n: int, bands:
     for band in range(bands):
         least = np.full((width, n), none, np.uint64)
         for k in range(width):
-            h = (used.astype(np.uint64) + np.uint64(1 + band * width + k)) * np.uint64(0x9E3779B97F4A7C15)
+            h = (table.used.astype(np.uint64) + np.uint64(1 + band * width + k)) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
             h *= np.uint64(0xBF58476D1CE4E5B9)
             h ^= h >> np.uint64(32)
-            np.minimum.at(least[k], doc[rare], h[flat[rare]])
+            if len(starts):
+                least[k][owners] = np.minimum.reduceat(h[flat], starts)
         first: dict[tuple, int] = {}
         for i, x in enumerate(map(tuple, least.T.tolist())):
             if x[0] != none:
@@ -154,19 +174,15 @@ def _copies(used: np.ndarray, flat: np.ndarray, doc: np.ndarray, n: int, bands:
     return np.array([find(i) for i in range(n)])
 
 
-def grade(rows: list[np.ndarray], labels: np.ndarray) -> np.ndarray:
+def grade(table: Sparse, labels: np.ndarray) -> np.ndarray:
     """Ordered grades from labels; a binary label's positives are split by their number of telling features."""
     levels = np.unique(labels)
     if len(levels) != 2:
         return np.searchsorted(levels, labels)
     toxic = labels == levels[1]
-    flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-    doc = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
-    used, inv = np.unique(flat, return_inverse=True)
-    hot = np.bincount(inv, weights=toxic[doc], minlength=len(used))
-    cold = np.bincount(inv, weights=~toxic[doc], minlength=len(used))
+    hot, cold = table.sums(toxic.astype(float)), table.sums((~toxic).astype(float))
     telling = (hot >= 5) & (hot / max(toxic.sum(), 1) > 20 * cold / max((~toxic).sum(), 1))
-    n = np.bincount(doc, weights=telling[inv], minlength=len(rows))
+    n = np.bincount(table.doc[telling[table.flat]], minlength=table.n)
     return np.where(~toxic, 0, np.where(n < np.median(n[toxic]), 1, 2))
 
 
@@ -182,7 +198,7 @@ def _sampled(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, max_features: int = 8000, bits: int = 20) -> Ordinal:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_features: int = 8000, bits: int = 20) -> Ordinal:
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             out = []
@@ -201,11 +217,10 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 10_000, max_features
         .orderBy("doc_id")
         .collect()
     )
-    rows = [np.frombuffer(bytes(r["f"]), np.int32).astype(np.int64) for r in found]
     labels_ = np.array([r["y"] for r in found], dtype=np.int64)
-    if not len(rows):
-        return fit_ordinal([], np.zeros(0, np.int64), bits)
-    return fit_ordinal(rows, grade(rows, labels_), bits)
+    table = Sparse([np.frombuffer(bytes(r["f"]), np.int32) for r in found])
+    del found
+    return fit_ordinal(table, grade(table, labels_), bits)
 
 
 def score(docs: DataFrame, model: Ordinal, cache_words: int = 200_000) -> DataFrame:

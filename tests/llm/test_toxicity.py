@@ -7,7 +7,7 @@ def test_thresholds_stay_in_order_and_share_weights():
     rng = np.random.default_rng(0)
     grades = rng.integers(0, 3, 600)
     rows = [np.unique(np.concatenate([rng.integers(100, 200, 5), np.arange(1, 1 + 3 * g)])).astype(np.int64) for g in grades]
-    m = tx.fit_ordinal(rows, grades, 10)
+    m = tx.fit_ordinal(tx.Sparse(rows), grades, 10)
     assert len(m.thetas) == 2 and m.thetas[0] < m.thetas[1]
     score = np.array([m.weights[r].sum() for r in rows])
     assert ((score[:, None] > m.thetas).sum(axis=1) == grades).mean() > 0.95
@@ -17,7 +17,7 @@ def test_thresholds_stay_in_order_and_share_weights():
 
 def test_degenerate_labels_are_never_toxic():
     for grades in ([], [0, 0], [1, 1]):
-        m = tx.fit_ordinal([np.array([1])] * len(grades), np.array(grades, dtype=np.int64), 8)
+        m = tx.fit_ordinal(tx.Sparse([np.array([1])] * len(grades)), np.array(grades, dtype=np.int64), 8)
         assert m.severity(np.array([0.0]))[0] < 1e-6
 
 
