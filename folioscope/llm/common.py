@@ -14,7 +14,6 @@ from folioscope.shipping import ship as ship  # noqa: PLC0414  operators take it
 #: ASCII white space, the only characters that separate words or are stripped from lines.
 WS = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-WORD_PATTERN = "[^\\x20\\x09-\\x0D]+"
 SPACE_PATTERN = "[\\x20\\x09-\\x0D]+"
 
 #: Most keys that `skew_join` ever broadcasts.
@@ -23,10 +22,6 @@ HOT_KEYS = 1000
 _made: list[tuple[SparkSession, str]] = []
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, or one of our own if unset."""
     sc = spark.sparkContext
@@ -89,11 +84,6 @@ def strip_ws(c: Column) -> Column:
     return F.trim(c, F.lit(WS))
 
 
-def words(c: Column) -> Column:
-    """Words of a text as an array; null, empty and blank texts give an empty array."""
-    return F.filter(F.split(F.coalesce(c, F.lit("")), SPACE_PATTERN), lambda w: w != F.lit(""))
-
-
 def skew_join(
     left: DataFrame, right: DataFrame, keys: list[str], weight: str, spread: str, how: str = "inner", salts: int = 64
 ) -> DataFrame:

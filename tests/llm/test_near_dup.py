@@ -66,6 +66,11 @@ def test_against_brute_force(spark, frame_of, words):
         assert run(frame_of(rows)) == brute(rows)
 
 
+def test_the_pipelines_threshold(spark, frame_of, words):
+    rows = corpus(words, 3)
+    assert run(frame_of(rows), percent=80, t=32, slack=0.3) == brute(rows, 80)
+
+
 def test_small_blocks_lose_nothing(spark, frame_of, words):
     rnd = random.Random(5)
     base = words(150, 77)
