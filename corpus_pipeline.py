@@ -32,7 +32,8 @@ def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return near_dup.keep_one(docs)
+    # Similarity 0.8; the sketch bounds leave a pair at the threshold a chance of about 1e-8 to be missed.
+    return near_dup.keep_one(docs, percent=80, t=32, slack=0.3)
 
 
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
