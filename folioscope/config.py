@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import json
 import os
 from collections.abc import Mapping
-from dataclasses import dataclass, fields
+from dataclasses import asdict, dataclass, fields
 
 
 def _number(env: Mapping[str, str], name: str, default, least):
@@ -62,3 +63,6 @@ class Settings:
     def tasks(self) -> int:
         """Parallel recognition tasks: one in strict mode."""
         return 1 if self.ocr_strict_memory_mode else self.ocr_max_concurrent
+
+    def to_json(self) -> str:
+        return json.dumps(asdict(self), sort_keys=True)

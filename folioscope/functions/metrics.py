@@ -145,15 +145,30 @@ def meteor(reference: Column, hypothesis: Column) -> Column:
     return F.pandas_udf(_meteor_series, "double")(reference, hypothesis)
 
 
-Scorer = Callable[[Column, Column], Column]
+Scorer = Callable[[str, str], float]
+
+
+def guarded(scorer: Scorer) -> Callable[[Column, Column], Column]:
+    """A model's score per row as (value, error): an exception is a message in its row, not the job's end."""
+
+    def run(reference: pd.Series, hypothesis: pd.Series) -> pd.DataFrame:
+        out = []
+        for r, h in zip(reference, hypothesis, strict=True):
+            try:
+                out.append((float(scorer(r, h)) if r and h else None, None))
+            except Exception as e:  # noqa: BLE001
+                out.append((None, str(e)))
+        return pd.DataFrame(out, columns=["value", "error"])
+
+    return F.pandas_udf(run, "value double, error string")
 
 
 def score_answers(answered: DataFrame, scorers: dict[str, Scorer] | None = None, use_stemmer: bool = True) -> DataFrame:
     """Metric rows of answered(question, answer, correct_answer?, model_answer, status).
 
-    scorers: column expressions for bertscore_f1 and semantic_similarity; null
-    without them. A row with an empty text on either side has null metrics and
-    a message. Other columns are dropped.
+    scorers: functions of two texts for bertscore_f1 and semantic_similarity;
+    null without them. A row with an empty text on either side, and a row for
+    which a scorer raises, has null metrics and a message. Other columns are dropped.
     """
     scorers = scorers or {}
     text = lambda c: F.col(c).cast("string") if c in answered.columns else F.lit(None).cast("string")
@@ -175,9 +190,13 @@ def score_answers(answered: DataFrame, scorers: dict[str, Scorer] | None = None,
         "rougeL": rouge_l(F.col("_r"), F.col("_h")),
         "meteor": meteor(ref, hyp),
     }
-    found |= {m: scorers[m](ref, hyp) if m in scorers else F.lit(None).cast("double") for m in METRICS if m not in found}
-    rows = rows.withColumns({m: F.when(F.col("_ok"), c) for m, c in found.items()})
-    return rows.withColumn("metrics_error", F.when(~F.col("_ok"), EMPTY_TEXT)).drop("_r", "_h", "_ok")
+    rows = rows.withColumns({f"_{m}": guarded(f)(ref, hyp) for m, f in scorers.items()})
+    problems = [F.col(f"_{m}.error") for m in scorers]
+    error = F.when(~F.col("_ok"), EMPTY_TEXT).otherwise(F.coalesce(*problems, F.lit(None)) if problems else F.lit(None))
+    rows = rows.withColumn("metrics_error", error)
+    found |= {m: F.col(f"_{m}.value") if m in scorers else F.lit(None).cast("double") for m in METRICS if m not in found}
+    rows = rows.withColumns({m: F.when(F.col("metrics_error").isNull(), c) for m, c in found.items()})
+    return rows.select("question", "correct_answer", "model_answer", "status", *METRICS, "metrics_error")
 
 
 def mean_metrics(rows: DataFrame) -> DataFrame:

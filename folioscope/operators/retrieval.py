@@ -155,6 +155,18 @@ def resolve_index(registry: DataFrame, index_id: str | None = None, name: str |
     raise ValueError("one of index_id, name and dataset is needed")
 
 
+def terminal(status: Column) -> Column:
+    """Whether an index is done, well or not."""
+    return status != "in_progress"
+
+
+def require_rows(df: DataFrame, what: str) -> DataFrame:
+    """df, or ValueError if it is empty."""
+    if df.isEmpty():
+        raise ValueError(f"no {what}")
+    return df
+
+
 def one_selector(*selectors) -> None:
     if sum(bool(s) for s in selectors) != 1:
         raise ValueError("exactly one selector is needed")

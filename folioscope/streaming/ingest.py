@@ -7,13 +7,15 @@ what it wrote before. One failed document never stops the others.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from folioscope.functions.text import stem
+from folioscope.shipping import ship
 
 STATUS = "system_key string, status string, error_message string"
 
@@ -47,6 +49,29 @@ def latest_status(statuses: DataFrame) -> DataFrame:
     return statuses.groupBy("system_key").agg(last).select("system_key", "x.status", "x.error_message")
 
 
+def send_statuses(statuses: DataFrame, make_sender: Callable[[], Callable[[dict], int]]) -> DataFrame:
+    """(system_key, status, sent, problem): each row handed to a sender, which returns an HTTP status.
+
+    A failure is a row, never an error: the status table stays the record. The
+    sender is made once per task and should give up by itself (10 s is usual).
+    """
+    ship(statuses.sparkSession)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        send = make_sender()
+        for b in batches:
+            out = []
+            for row in b.astype(object).where(b.notna(), None).to_dict("records"):
+                try:
+                    code = send(row)
+                    out.append((row["system_key"], row["status"], code < 400, None if code < 400 else f"HTTP {code}"))
+                except Exception as e:  # noqa: BLE001
+                    out.append((row["system_key"], row["status"], False, str(e)[:300]))
+            yield pd.DataFrame(out, columns=["system_key", "status", "sent", "problem"])
+
+    return statuses.select("system_key", "status", "error_message").mapInPandas(run, "system_key string, status string, sent boolean, problem string")
+
+
 def run_ingest(
     spark: SparkSession,
     source: str,

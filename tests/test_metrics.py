@@ -66,6 +66,14 @@ def test_answers_are_chosen_before_they_are_trimmed(spark):
     assert m.mean_metrics(m.score_answers(df.limit(0))).count() == 0
 
 
-def test_scorers_are_plug_points(spark):
-    df = spark.createDataFrame([("q", "a", "b")], "question string, answer string, model_answer string")
-    assert m.score_answers(df, {"bertscore_f1": lambda r, h: F.lit(0.5)}).first().bertscore_f1 == 0.5
+def test_scorers_are_plug_points_and_may_fail(spark):
+    df = spark.createDataFrame([("q", "a", "b"), ("r", "a", "boom")], "question string, answer string, model_answer string")
+
+    def half(reference, hypothesis):
+        if hypothesis == "boom":
+            raise RuntimeError("no score")
+        return 0.5
+
+    got = {r.question: r for r in m.score_answers(df, {"bertscore_f1": half}).collect()}
+    assert got["q"].bertscore_f1 == 0.5 and got["q"].bleu == 0.0 and got["q"].metrics_error is None
+    assert got["r"].metrics_error == "no score" and all(got["r"][x] is None for x in m.METRICS)
