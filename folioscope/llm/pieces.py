@@ -155,12 +155,13 @@ class Vocabulary:
 
         out: list[bytes] = [b""] * len(parts)
         chars = self._tables()[0]
-        order = sorted(range(len(parts)), key=lambda i: len(parts[i]))
-        for lo, hi in ((1, 6), (7, 10), (11, 16), (17, 32), (33, 64)):
-            picked = [i for i in order if lo <= len(parts[i]) <= hi]
-            for at in range(0, len(picked), 8192):
-                ix = picked[at : at + 8192]
-                sizes = np.array([len(parts[i]) for i in ix])
+        lengths = np.fromiter(map(len, parts), np.int64, len(parts))
+        order = np.argsort(lengths, kind="stable")
+        ends = np.searchsorted(lengths[order], [0, 6, 10, 16, 32, 64], "right")
+        for lo, hi in zip(ends, ends[1:], strict=False):  # parts of like length together
+            for at in range(lo, hi, 8192):
+                ix = order[at : min(hi, at + 8192)].tolist()
+                sizes = lengths[ix]
                 codes = np.frombuffer("".join([parts[i] for i in ix]).encode("utf-32-le"), np.uint32)
                 inside = np.arange(int(sizes.max()))[None, :] < sizes[:, None]
                 symbols = np.full(inside.shape, -1, np.int32)
@@ -168,15 +169,14 @@ class Vocabulary:
                 known = ((symbols >= 0) | ~inside).all(axis=1)
                 keys = np.array([xxhash.xxh3_64_intdigest(parts[i], salt) for i in ix], np.uint64) if p else np.zeros(len(ix), np.uint64)
                 good = np.flatnonzero(known)
-                flat, ends = self._merge_rows(symbols[good], inside[good], keys[good], int(p * (1 << 32)))
+                flat, stops = self._merge_rows(symbols[good], inside[good], keys[good], int(p * (1 << 32)))
                 raw = flat.astype(np.int32).tobytes()
-                for k, a, b in zip(good.tolist(), [0, *ends[:-1].tolist()], ends.tolist(), strict=False):
+                for k, a, b in zip(good.tolist(), [0, *stops[:-1].tolist()], stops.tolist(), strict=False):
                     out[ix[k]] = raw[4 * a : 4 * b]
                 for k in np.flatnonzero(~known).tolist():  # a character without a piece
                     out[ix[k]] = self.merge(parts[ix[k]], p, int(keys[k]))
-        for i in order:
-            if len(parts[i]) > 64:
-                out[i] = self.merge(parts[i], p, xxhash.xxh3_64_intdigest(parts[i], salt) if p else 0)
+        for i in order[ends[-1] :].tolist():
+            out[i] = self.merge(parts[i], p, xxhash.xxh3_64_intdigest(parts[i], salt) if p else 0)
         return out
 
     def _merge_rows(self, sym: np.ndarray, alive: np.ndarray, keys: np.ndarray, limit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -260,16 +260,17 @@ class Vocabulary:
     def encode_batch(self, texts: list[str], kinds: list[int], p: float, seed: int, remember: int = 300_000) -> list[bytes]:
         """encode() of many texts, each with its variant: new parts of all of them are merged together."""
         parts = [self._parts(t) for t in texts]
+        long: list[tuple[dict, str]] = []
         for kind in set(kinds):
             known = self.caches.setdefault((p, seed, kind), {})
             if len(known) > remember // max(1, len(self.caches)):
                 known.clear()
-            new = list({x for ps, k in zip(parts, kinds, strict=True) if k == kind for x in ps if x not in known})
+            new = list(set().union(*(ps for ps, k in zip(parts, kinds, strict=True) if k == kind)).difference(known))
+            long += [(known, x) for x in new if len(x) > 64]
             known.update(zip(new, self.merge_all(new, p, self._salt(seed, kind)), strict=True))
         out = [b"".join(map(self.caches[p, seed, k].__getitem__, ps)) for ps, k in zip(parts, kinds, strict=True)]
-        for known in self.caches.values():
-            for x in [x for x in known if len(x) > 64]:
-                del known[x]
+        for known, x in long:  # seldom seen again
+            del known[x]
         return out
 
     def _parts(self, text: str) -> list[str]:
