@@ -127,11 +127,11 @@ def keep_members(df: DataFrame, column: str, members: DataFrame) -> DataFrame:
     """
     place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
     bits = (
-        members.select(place.alias("h"))
-        .groupBy(F.bitmap_bucket_number("h").alias("_bucket"))
-        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("_bits"))
+        members.select(place.alias("_km_h"))
+        .groupBy(F.bitmap_bucket_number("_km_h").alias("_km_bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_km_h")).alias("_km_bits"))
     )
-    out = df.withColumn("_h", place).withColumn("_bucket", F.bitmap_bucket_number("_h")).join(F.broadcast(bits), "_bucket")
-    at = F.bitmap_bit_position("_h")
-    byte = F.conv(F.hex(F.substring("_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    out = df.withColumn("_km_h", place).withColumn("_km_bucket", F.bitmap_bucket_number("_km_h")).join(F.broadcast(bits), "_km_bucket")
+    at = F.bitmap_bit_position("_km_h")
+    byte = F.conv(F.hex(F.substring("_km_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
     return out.where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*df.columns)

@@ -1,0 +1,43 @@
+from pyspark.sql import functions as F
+
+from folioscope.llm import common
+
+
+def test_salted_joins_equal_plain_ones(spark):
+    left = spark.range(3000).select(F.when(F.col("id") < 2000, 1).otherwise(F.col("id")).cast("long").alias("k"), F.col("id").alias("x"))
+    right = left.groupBy("k").agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("first")).where("k < 2500")
+    for how in ("inner", "left"):
+        got = common.skew_join(left, right, ["k"], "n", "x", how, salts=8)
+        want = left.join(right, "k", how)
+        assert got.count() == want.count() and got.exceptAll(want.select(got.columns)).count() == 0
+    assert common.skew_join(left.limit(0), right, ["k"], "n", "x").count() == 0
+
+
+def test_member_filters_lose_no_member(spark):
+    rows = spark.range(-5000, 5000).withColumnRenamed("id", "k").withColumn("_h", F.lit("clash"))
+    members = rows.where("k % 9 = 0").select("k")
+    kept = common.keep_members(rows, "k", members)
+    assert kept.columns == rows.columns and kept.where("_h <> 'clash'").count() == 0
+    assert kept.join(members, "k").count() == members.count()
+    assert members.count() <= kept.count() < 1.1 * members.count()
+    assert common.keep_members(rows, "k", members.limit(0)).count() == 0
+
+
+def test_only_ascii_letters_are_lowered(spark):
+    rows = spark.createDataFrame([("ABC xyz",), ("ÀÉ Z İ",), (None,), ("",)], "t string")
+    assert [r[0] for r in rows.select(common.ascii_lower(F.col("t"))).collect()] == ["abc xyz", "ÀÉ z İ", None, ""]
+    assert [r[0] for r in rows.select(common.strip_ws(F.lit("\x0b a \r\n"))).limit(1).collect()] == ["a "]
+
+
+def test_tables_come_back_and_go(spark):
+    work = common.Work(spark, "test")
+    df = work.save(spark.range(5), "five")
+    assert df.count() == 5 and work.root.startswith(common.shared_dir(spark))
+    assert work.save(spark.range(0), "none").count() == 0
+    work.drop("five")
+    assert not common_exists(spark, work.path("five"))
+
+
+def common_exists(spark, path):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
