@@ -529,7 +529,19 @@ def bleu_pairs(spark, sf_dir) -> DataFrame:
     return answer_pairs(spark, sf_dir).select("doc", "page_no", F.round(metrics.bleu(F.col("reference"), F.col("hypothesis")), 6).alias("bleu"))
 
 
-@query()
+#: Longest common subsequence by rows: a row of the table is the running maximum of the row above and its matches.
+_ROUGE_L = f"""WITH {_PAIRS}, t AS (SELECT doc, page_no, {_ASCII.format(c="r")} AS r, {_ASCII.format(c="h")} AS h FROM pairs
+), m AS (
+  SELECT doc, page_no, len(r) AS nr, len(h) AS nh, CASE WHEN len(r) = 0 OR len(h) = 0 THEN 0 ELSE list_reduce(
+    list_transform(h, lambda y: list_transform(r, lambda x: CASE WHEN x = y THEN 1 ELSE 0 END)),
+    lambda above, hit: list_transform(range(1, len(above) + 1), lambda j: CAST(list_max(list_transform(range(1, j + 1),
+      lambda i: greatest(above[i], CASE WHEN hit[i] = 1 THEN 1 + coalesce(above[i - 1], 0) ELSE 0 END))) AS INTEGER)),
+    list_transform(r, lambda x: 0))[-1] END AS lcs FROM t
+)
+SELECT doc, page_no, round(CASE WHEN lcs > 0 THEN 2 * (lcs / nh) * (lcs / nr) / (lcs / nh + lcs / nr) ELSE 0 END, 6) AS "rougeL" FROM m"""
+
+
+@query(_ROUGE_L)
 def rougeL_pairs(spark, sf_dir) -> DataFrame:  # noqa: N802
     score = metrics.rouge_l(metrics.rouge_tokens(F.col("reference")), metrics.rouge_tokens(F.col("hypothesis")))
     return answer_pairs(spark, sf_dir).select("doc", "page_no", F.round(score, 6).alias("rougeL"))
