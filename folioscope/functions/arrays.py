@@ -31,10 +31,13 @@ def find_all(text: Column, pattern: str, group: int = 0) -> Column:
 
 
 def bag(items: Column) -> Column:
-    """An array as a set of (item, how many equal ones came before), so that set operations count repeats."""
+    """An array of texts with each marked by how many equal ones came before, so that set operations count repeats.
+
+    The marks are part of the text: on plain strings, set operations hash.
+    """
     return let(
         F.array_sort(items),
-        lambda s: F.transform(s, lambda x, i: F.struct(x.alias("x"), (i - F.array_position(s, x)).alias("k"))),
+        lambda s: F.transform(s, lambda x, i: F.concat_ws("\x02", x, (i - F.array_position(s, x)).cast("string"))),
     )
 
 
@@ -44,9 +47,11 @@ def bag_overlap(a: Column, b: Column) -> Column:
 
 
 def ngrams(tokens: Column, n: int) -> Column:
-    return F.when(F.size(tokens) < n, F.array().cast("array<string>")).otherwise(
-        F.transform(F.sequence(F.lit(1), F.size(tokens) - (n - 1)), lambda i: F.array_join(F.slice(tokens, i, n), "\x01"))
-    )
+    def of(t: Column) -> Column:
+        grams = F.transform(F.sequence(F.lit(1), F.size(t) - (n - 1)), lambda i: F.array_join(F.slice(t, i, n), "\x01"))
+        return F.when(F.size(t) < n, F.array().cast("array<string>")).otherwise(grams)
+
+    return let(tokens, of)
 
 
 def dot(a: Column, b: Column) -> Column:

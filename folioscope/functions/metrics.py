@@ -33,8 +33,8 @@ def bleu(reference: Column, hypothesis: Column) -> Column:
         unigrams = bag_overlap(ngrams(h, 1), ngrams(r, 1))
 
         def log_precision(n: int) -> Column:
-            m = bag_overlap(ngrams(h, n), ngrams(r, n)).cast("double")
-            return F.ln(F.when(m == 0, F.lit(0.1)).otherwise(m) / total(n))
+            matches = bag_overlap(ngrams(h, n), ngrams(r, n)).cast("double")
+            return let(matches, lambda m: F.ln(F.when(m == 0, F.lit(0.1)).otherwise(m) / total(n)))
 
         brevity = F.when(F.size(h) > F.size(r), F.lit(1.0)).when(F.size(h) == 0, F.lit(0.0)).otherwise(F.exp(1 - F.size(r) / F.size(h)))
         logs = sum((log_precision(n) for n in (2, 3, 4)), log_precision(1)) / 4
@@ -59,8 +59,12 @@ def stemmed(tokens: Column) -> Column:
 
 
 def f_measure(overlap: Column, n_reference: Column, n_hypothesis: Column) -> Column:
-    p, r = overlap / F.greatest(n_hypothesis, F.lit(1)), overlap / F.greatest(n_reference, F.lit(1))
-    return F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
+    def of(x: Column) -> Column:
+        p, r = x["o"] / F.greatest(x["h"], F.lit(1)), x["o"] / F.greatest(x["r"], F.lit(1))
+        return F.when(x["o"] > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
+
+    # The overlap is costly and used several times, so it is bound.
+    return let(F.struct(overlap.cast("double").alias("o"), n_hypothesis.alias("h"), n_reference.alias("r")), of)
 
 
 def rouge_n(reference_tokens: Column, hypothesis_tokens: Column, n: int) -> Column:
