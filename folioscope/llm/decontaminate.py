@@ -1,11 +1,15 @@
 """Benchmark decontamination by templates (operator 5, native).
 
-Texts are canonicalised: numbers, units after numbers and capitalised words in
-mid-sentence become typed placeholders, case and trailing punctuation go. Each
-benchmark item gives the hashes of its `window`-token template windows (an item
-of `min_tokens` to `window` - 1 tokens gives one window, the whole item), and the
-windows of every document are hash-joined with them. A hit is then confirmed on
-the tokens themselves, and the values in its slots are compared: within one
+Texts are canonicalised: white space becomes single spaces, numbers, units after
+numbers and capitalised words in mid-sentence become typed placeholders, case and
+trailing punctuation go. Beside this template stand the literal tokens, whose
+values are kept and only case and trailing punctuation go, so a copy is found
+whatever its spacing and case. Each benchmark item gives the hashes of its
+`window`-token windows in both forms (an item of `min_tokens` to `window` - 1
+tokens gives one window, the whole item), and the windows of every document are
+hash-joined with them. A hit aligns document and item; every window of the
+alignment is then confirmed on the tokens themselves, each equal as template or
+literally, and the values in its slots are compared, without case: within one
 alignment of a document with an item, each value of the item must always stand
 for one value of the document and the other way round. So both verbatim copies
 and re-parameterised ones (other names and numbers, consistently put in) are
@@ -17,12 +21,14 @@ of some item's windows.
 The benchmark's window hashes are counted first; up to `broadcast_windows` of
 them (8 bytes each) are broadcast, beyond that the join shuffles. Only hashes
 and positions are exploded, never text; texts of hit documents are read again
-to confirm.
+to confirm, with the tokens of the items they are aligned with.
 
 Defined cases: a null or empty text has no windows and is clean; rows that share
 a doc_id and a text are treated alike, and all are returned; items shorter than
 min_tokens are never evidence; windows with fewer than half literal tokens are
-ignored; an empty benchmark or empty documents give no hits.
+ignored; texts that share an item_id are items of their own; an empty benchmark
+or empty documents give no hits. A text all in upper case has no names, so of it
+only literal windows and those without names are found.
 """
 
 from __future__ import annotations
@@ -39,24 +45,48 @@ UNITS = (
     "seconds|second|s|days|day|weeks|week|months|month|years|year|dollars|dollar|euros|euro|usd|eur|litres|liters|l|ml"
 )
 _NO_ID = -(2**63)
+_SLOT = "<(num|unit|name)>"
+
+
+def single_spaced(text: Column) -> Column:
+    """Runs of white space as one space each, so that what stands before a token doesn't depend on them."""
+    return F.regexp_replace(text, "[\\x09-\\x0D][\\x20\\x09-\\x0D]*|\\x20[\\x20\\x09-\\x0D]+", " ")
+
+
+def _bare(c: Column) -> Column:
+    """Without the punctuation at the ends of tokens."""
+    return F.regexp_replace(c, "(?<=\\S)[.,;:!?\"')\\]*#$%&]+(?=\\s|$)", "")
 
 
 def template(text: Column) -> Column:
     """The canonical form; it has as many white-space separated tokens as the text."""
-    c = F.regexp_replace(text, "(?<=[\\p{Ll}\\p{Nd},;:] )\\p{Lu}[\\p{L}'-]*", "<name>")
+    c = F.regexp_replace(single_spaced(text), "(?<=[\\p{L}\\p{Nd},;:] )\\p{Lu}[\\p{L}'-]*", "<name>")
     c = F.regexp_replace(c, "[0-9]+(?:[.,:/-][0-9]+)*", "<num>")
     c = F.lower(c)
     c = F.regexp_replace(c, f"(?<=<num>)( ?)(?:{UNITS})(?![\\p{{L}}\\p{{Nd}}])", "$1<unit>")
-    return F.regexp_replace(c, "(?<=\\S)[.,;:!?\"')\\]*#$%&]+(?=\\s|$)", "")
+    return _bare(c)
+
+
+def literal(text: Column) -> Column:
+    """The text without case and punctuation at the ends of tokens, with values as they are; as many tokens as the template."""
+    return _bare(F.lower(text))
 
 
 def tokens(text: Column) -> Column:
     return F.array_remove(F.split(text, SPACE_PATTERN), "")
 
 
-def window_hashes(ts: Column, w: int) -> Column:
-    return F.when(F.size(ts) < w, F.array().cast("array<bigint>")).otherwise(
-        F.transform(F.sequence(F.lit(0), F.size(ts) - w), lambda i: F.xxhash64(F.slice(ts, i + 1, w)))
+def window_hashes(ts: Column, w: int | Column) -> Column:
+    """Hashes of all windows of w tokens; w from a column gives the same values, by slices, which are far slower."""
+    if isinstance(w, int):
+        of = lambda hs, i: F.xxhash64(*[F.get(hs, i + k) for k in range(w)])
+    else:
+        of = lambda hs, i: F.xxhash64(F.slice(hs, i + 1, w))
+    return let(
+        F.transform(ts, lambda x: F.xxhash64(x)),
+        lambda hs: F.when(F.size(hs) < w, F.array().cast("array<bigint>")).otherwise(
+            F.transform(F.sequence(F.lit(0), F.size(hs) - w), lambda i: of(hs, i))
+        ),
     )
 
 
@@ -65,95 +95,136 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumns({"_dc_doc": F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)), "_dc_row": F.xxhash64(text)})
 
 
-def benchmark_windows(benchmark: DataFrame, window: int = 8, min_tokens: int = 5) -> DataFrame:
-    """(item_id, ipos, w, h, total, ct, raw): every window of every item, its template tokens and its raw tokens."""
+def _usable(ct: Column, w: Column) -> Column:
+    """Whether a template window is evidence by itself: at least half of its tokens are literal."""
+    return 2 * F.size(F.filter(ct, lambda x: ~x.rlike(_SLOT))) >= w
+
+
+def benchmark_items(benchmark: DataFrame, window: int = 8, min_tokens: int = 5) -> DataFrame:
+    """(item_id, item, w, ic, il): items long enough, with template tokens and literal tokens; item is the text's hash."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    items = (
+    return (
         benchmark.where("item_id is not null")
-        .select("item_id", tokens(template(text)).alias("c"), tokens(text).alias("t"))
-        .where((F.size("c") >= min_tokens) & (F.size("c") == F.size("t")))
-        .withColumn("w", F.least(F.lit(window), F.size("c")))
+        .select("item_id", F.xxhash64(text).alias("item"), tokens(template(text)).alias("ic"), tokens(literal(text)).alias("il"))
+        .where((F.size("ic") >= min_tokens) & (F.size("ic") == F.size("il")))
+        .withColumn("w", F.least(F.lit(window), F.size("ic")))
+        .dropDuplicates(["item_id", "item"])
     )
-    literal = lambda ts: F.size(F.filter(ts, lambda x: ~x.rlike("<(num|unit|name)>")))
-    out = items.select(
+
+
+def benchmark_windows(items: DataFrame) -> DataFrame:
+    """(item_id, item, w, ipos, h): hashes of every window of every item, as template and as literal tokens."""
+    at = items.select(
         "item_id",
+        "item",
         "w",
-        (F.size("c") - F.col("w") + 1).alias("total"),
-        F.explode(F.sequence(F.lit(0), F.size("c") - F.col("w"))).alias("ipos"),
-        "c",
-        "t",
-    ).select(
-        "item_id", "w", "total", "ipos", F.slice("c", F.col("ipos") + 1, F.col("w")).alias("ct"), F.slice("t", F.col("ipos") + 1, F.col("w")).alias("raw")
+        F.explode(
+            F.arrays_zip(
+                F.sequence(F.lit(0), F.size("ic") - F.col("w")).alias("ipos"),
+                window_hashes(F.col("ic"), F.col("w")).alias("hc"),
+                window_hashes(F.col("il"), F.col("w")).alias("hl"),
+            )
+        ).alias("x"),
+        "ic",
+    ).select("item_id", "item", "w", "x.*", F.slice("ic", F.col("x.ipos") + 1, F.col("w")).alias("ct"))
+    return (
+        at.where(_usable(F.col("ct"), F.col("w")))
+        .select("item_id", "item", "w", "ipos", F.explode(F.array_distinct(F.array("hc", "hl"))).alias("h"))
+    )
+
+
+def _windows(d: Column, x: Column) -> Column:
+    """Windows of one alignment x of an item with the document d (c, l) whose tokens all agree, each as template or as it is."""
+    first = F.greatest(F.lit(0), -x["offset"])
+    last = F.least(F.size(x["ic"]), F.size(d["c"]) - x["offset"]) - x["w"]
+
+    def window(i: Column) -> Column:
+        cut = lambda ts, at: F.slice(ts, at + 1, x["w"])
+        at = x["offset"] + i
+        both = F.arrays_zip(cut(x["ic"], i).alias("ic"), cut(x["il"], i).alias("il"), cut(d["c"], at).alias("dc"), cut(d["l"], at).alias("dl"))
+        return let(
+            both,
+            lambda zs: F.struct(
+                i.alias("ipos"),
+                F.forall(zs, lambda z: z["il"] == z["dl"]).alias("exact"),
+                F.forall(zs, lambda z: (z["ic"] == z["dc"]) | (z["il"] == z["dl"])).alias("agrees"),
+                _usable(cut(x["ic"], i), x["w"]).alias("usable"),
+                F.transform(
+                    F.filter(zs, lambda z: z["ic"].rlike(_SLOT)), lambda z: F.struct(z["il"].alias("iv"), z["dl"].alias("dv"))
+                ).alias("slots"),
+            ),
+        )
+
+    places = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    return F.filter(F.transform(places, window), lambda v: v["agrees"] & v["usable"])
+
+
+def _consistent(windows: Column) -> Column:
+    """The windows, or none if in their slots a value stands for several."""
+    pairs = F.array_distinct(F.flatten(F.transform(windows, lambda v: v["slots"])))
+    clashing = let(
+        pairs,
+        lambda ps: F.exists(ps, lambda p: F.exists(ps, lambda q: (p["iv"] == q["iv"]) != (p["dv"] == q["dv"]))),
     )
-    return out.where(2 * literal(F.col("ct")) >= F.col("w")).withColumn("h", F.xxhash64("ct"))
+    return F.filter(windows, lambda v: ~clashing)
 
 
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, window: int = 8, min_tokens: int = 5, coverage: float = 0.5, broadcast_windows: int = 1_000_000
 ) -> DataFrame:
-    """(_dc_doc, _dc_row, item_id, covered, total): alignments of documents with items that reach the coverage."""
-    bench = benchmark_windows(benchmark, window, min_tokens).dropDuplicates(["item_id", "ipos"])
+    """(_dc_doc, _dc_row, item_id, item, covered, total): alignments of documents with items that reach the coverage."""
+    items = benchmark_items(benchmark, window, min_tokens)
+    bench = benchmark_windows(items)
     sizes = {r["w"]: r["n"] for r in bench.groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `window` rows
     small = sum(sizes.values()) <= broadcast_windows
     hint = F.broadcast if small else (lambda x: x)
     keyed = _keyed(docs.select("doc_id", "text"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    with_c = keyed.select("_dc_doc", "_dc_row", tokens(template(text)).alias("c"))
-    hashes_of = lambda w: let(F.col("c"), lambda c: window_hashes(c, w))
+    both = [tokens(template(text)).alias("c"), tokens(literal(text)).alias("l")]
+    with_c = keyed.select("_dc_doc", "_dc_row", *both)
     hits = None
     for w in sorted(sizes) or [window]:
         keys = bench.where(F.col("w") == w).select("h").distinct()
-        wins = with_c.select("_dc_doc", "_dc_row", F.posexplode(hashes_of(w)).alias("pos", "h"))
+        # Each form of the tokens is named once only, as a column named twice is computed twice.
+        both_hashes = F.arrays_zip(window_hashes(F.col("c"), w).alias("hc"), window_hashes(F.col("l"), w).alias("hl"))
+        wins = with_c.select("_dc_doc", "_dc_row", F.posexplode(both_hashes).alias("pos", "x")).select(
+            "_dc_doc", "_dc_row", "pos", F.explode(F.when(F.col("x.hc") == F.col("x.hl"), F.array("x.hc")).otherwise(F.array("x.hc", "x.hl"))).alias("h")
+        )
         found = wins.join(hint(keys), "h", "left_semi").withColumn("w", F.lit(w))
         hits = found if hits is None else hits.unionByName(found)
-    # Identical rows give identical hits.
-    matched = hits.dropDuplicates(["_dc_doc", "_dc_row", "pos", "w"]).join(hint(bench.select("h", "w", "item_id", "ipos", "ct", "raw", "total")), ["h", "w"])
-    per_doc = matched.groupBy("_dc_doc", "_dc_row").agg(
-        F.collect_list(F.struct("pos", "w", "item_id", "ipos", "ct", "raw", "total")).alias("hits")
+    # Identical rows give identical hits; the windows of an alignment give it once.
+    aligned = (
+        hits.join(hint(bench), ["h", "w"])
+        .select("_dc_doc", "_dc_row", "item_id", "item", (F.col("pos") - F.col("ipos")).alias("offset"))
+        .distinct()
+        .join(hint(items), ["item_id", "item"])
     )
-    again = keyed.dropDuplicates(["_dc_doc", "_dc_row"]) if False else keyed
-    confirmed = (
-        again.join(per_doc, ["_dc_doc", "_dc_row"])
-        .select("_dc_doc", "_dc_row", tokens(template(text)).alias("c"), tokens(text).alias("t"), "hits")
+    per_doc = aligned.groupBy("_dc_doc", "_dc_row").agg(F.collect_list(F.struct("item_id", "item", "offset", "w", "ic", "il")).alias("hits"))
+    covered = (
+        keyed.join(per_doc, ["_dc_doc", "_dc_row"])
+        .select("_dc_doc", "_dc_row", *both, "hits")
         .select(
             "_dc_doc",
             "_dc_row",
             F.explode(
                 let(
-                    F.struct("c", "t"),
+                    F.struct("c", "l"),
                     lambda d: F.transform(
-                        F.filter("hits", lambda x: F.slice(d["c"], x["pos"] + 1, x["w"]) == x["ct"]),
+                        "hits",
                         lambda x: F.struct(
                             x["item_id"].alias("item_id"),
-                            x["ipos"].alias("ipos"),
-                            (x["pos"] - x["ipos"]).alias("offset"),
-                            x["total"].alias("total"),
-                            F.filter(
-                                F.arrays_zip(x["ct"].alias("k"), x["raw"].alias("iv"), F.slice(d["t"], x["pos"] + 1, x["w"]).alias("dv")),
-                                lambda z: z["k"].rlike("<(num|unit|name)>"),
-                            ).alias("slots"),
+                            x["item"].alias("item"),
+                            (F.size(x["ic"]) - x["w"] + 1).alias("total"),
+                            F.transform(let(_windows(d, x), _consistent), lambda v: v["ipos"]).alias("ipos"),
                         ),
                     ),
                 )
             ).alias("x"),
         )
-        .select("_dc_doc", "_dc_row", "x.*")
-    )
-    at = ["_dc_doc", "_dc_row", "item_id", "offset"]
-    clean = lambda c: F.regexp_replace(c, "[.,;:!?\"')\\]*#$%&]+$", "")
-    pairs = (
-        confirmed.select(*at, F.explode("slots").alias("z"))
-        .select(*at, clean(F.col("z.iv")).alias("iv"), clean(F.col("z.dv")).alias("dv"))
-        .groupBy(*at)
-        .agg(
-            F.count_distinct("iv", "dv").alias("both"), F.count_distinct("iv").alias("n_iv"), F.count_distinct("dv").alias("n_dv")
-        )
-        .where("both > n_iv or both > n_dv")
-        .select(*at)
+        .select("_dc_doc", "_dc_row", "x.item_id", "x.item", "x.total", F.explode("x.ipos").alias("ipos"))
     )
-    consistent = confirmed.select(*at, "ipos", "total").join(pairs, at, "left_anti")
     return (
-        consistent.groupBy("_dc_doc", "_dc_row", "item_id")
+        covered.groupBy("_dc_doc", "_dc_row", "item_id", "item")
         .agg(F.count_distinct("ipos").alias("covered"), F.max("total").cast("bigint").alias("total"))
         .where(F.col("covered") >= F.lit(coverage) * F.col("total"))
     )

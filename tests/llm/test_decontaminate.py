@@ -66,3 +66,18 @@ def test_templates_keep_token_counts(spark, frame_of, messy_rows):
     df = frame_of(messy_rows).where("text is not null")
     bad = df.where(F.size(dc.tokens(dc.template(F.col("text")))) != F.size(dc.tokens(F.col("text"))))
     assert bad.count() == 0
+
+def covered(df, spark, items):
+    """Windows of each item that each document covers, whatever the coverage."""
+    items = spark.createDataFrame(items, "item_id long, text string")
+    return {(r["_dc_doc"], r["item_id"]): (r["covered"], r["total"]) for r in dc.find_leaks(df, items, coverage=0.0).collect()}
+
+
+def test_copies_in_other_spacing_and_case(spark, frame_of, words):
+    item, filler = BENCH[0][1], words(20, 3)
+    wrapped = re.sub("(.{30}\\S*) ", r"\1\n", item)
+    other = "Mary sold 61 apples to her friend Tom in June and then half as many in July, how many in all?"
+    texts = [item, item.replace(" ", "\n"), item.replace(" ", "  "), item.upper(), item.lower(), item.title(), wrapped]
+    rows = [(i, f"{filler} {t} {filler}") for i, t in enumerate(texts)] + [(90, other.replace(" ", " \n")), (91, other.replace("half", "HALF"))]
+    got = covered(frame_of(rows), spark, [(1, item)])
+    assert got == {(i, 1): (14, 14) for i in [*range(len(texts)), 90, 91]}
