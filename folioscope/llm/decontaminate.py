@@ -25,8 +25,11 @@ to confirm, with the tokens of the items they are aligned with.
 
 Defined cases: a null or empty text has no windows and is clean; rows that share
 a doc_id and a text are treated alike, and all are returned; items shorter than
-min_tokens are never evidence; windows with fewer than half literal tokens are
-ignored; texts that share an item_id are items of their own; an empty benchmark
+min_tokens are never evidence; windows with fewer than half literal tokens are no
+evidence of a template, so they are joined by their literal tokens only (equal
+values) and count with other values only in an alignment that also holds a window
+with more literal tokens: an item without any such window is found by copies with
+equal values, not by re-parameterised ones; texts that share an item_id are items of their own; an empty benchmark
 or empty documents give no hits. A text all in upper case has no names, so of it
 only literal windows and those without names are found.
 """
@@ -113,7 +116,7 @@ def benchmark_items(benchmark: DataFrame, window: int = 8, min_tokens: int = 5)
 
 
 def benchmark_windows(items: DataFrame) -> DataFrame:
-    """(item_id, item, w, ipos, h): hashes of every window of every item, as template and as literal tokens."""
+    """(item_id, item, w, ipos, h): hashes of every window of every item, as literal tokens and, if usable, as template."""
     at = items.select(
         "item_id",
         "item",
@@ -127,10 +130,8 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
         ).alias("x"),
         "ic",
     ).select("item_id", "item", "w", "x.*", F.slice("ic", F.col("x.ipos") + 1, F.col("w")).alias("ct"))
-    return (
-        at.where(_usable(F.col("ct"), F.col("w")))
-        .select("item_id", "item", "w", "ipos", F.explode(F.array_distinct(F.array("hc", "hl"))).alias("h"))
-    )
+    ways = F.when(_usable(F.col("ct"), F.col("w")), F.array_distinct(F.array("hc", "hl"))).otherwise(F.array("hl"))
+    return at.select("item_id", "item", "w", "ipos", F.explode(ways).alias("h"))
 
 
 def _windows(d: Column, x: Column) -> Column:
@@ -156,7 +157,12 @@ def _windows(d: Column, x: Column) -> Column:
         )
 
     places = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-    return F.filter(F.transform(places, window), lambda v: v["agrees"] & v["usable"])
+    return F.filter(F.transform(places, window), lambda v: v["agrees"])
+
+
+def _evident(windows: Column) -> Column:
+    """The windows that count: with few literal tokens, equal ones, and others only beside a usable one."""
+    return let(F.exists(windows, lambda v: v["usable"]), lambda anchored: F.filter(windows, lambda v: v["exact"] | anchored))
 
 
 def _consistent(windows: Column) -> Column:
@@ -166,7 +172,7 @@ def _consistent(windows: Column) -> Column:
         pairs,
         lambda ps: F.exists(ps, lambda p: F.exists(ps, lambda q: (p["iv"] == q["iv"]) != (p["dv"] == q["dv"]))),
     )
-    return F.filter(windows, lambda v: ~clashing)
+    return let(F.filter(windows, lambda v: ~clashing), _evident)
 
 
 def find_leaks(

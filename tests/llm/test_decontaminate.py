@@ -81,3 +81,22 @@ def test_copies_in_other_spacing_and_case(spark, frame_of, words):
     rows = [(i, f"{filler} {t} {filler}") for i, t in enumerate(texts)] + [(90, other.replace(" ", " \n")), (91, other.replace("half", "HALF"))]
     got = covered(frame_of(rows), spark, [(1, item)])
     assert got == {(i, 1): (14, 14) for i in [*range(len(texts)), 90, 91]}
+
+
+DENSE = "Alice paid 5 kg, 7 kg and 9 kg; Bob paid 4 kg, 8 kg, 3 kg and 2 kg"
+NAMES = "In 1990 Anna Maria Schmidt, Karl Otto Meyer and Eva Lena Huber, Jan Piet Bakker met Olga Weber"
+MIXED = "the farmer told all of his friends that Alice paid 5 kg, 7 kg and 9 kg; Bob 4 kg, 8 kg, 3 kg and 2 kg"
+
+
+def test_items_dense_in_values(spark, frame_of, words):
+    filler = words(20, 3)
+    mixed = MIXED.translate(str.maketrans("5794832", "1683274")).replace("Alice", "Carol").replace("Bob", "Dave")
+    texts = [DENSE, NAMES.upper(), DENSE.translate(str.maketrans("579", "168")), MIXED, mixed, "12 kg 5 kg 3 kg 4 kg 8 kg 9 kg 1 kg"]
+    df = frame_of([(i, f"{filler} {t} {filler}") for i, t in enumerate(texts)])
+    items = [(1, DENSE), (2, NAMES), (3, MIXED)]
+    got = covered(df, spark, items)
+    full = lambda t: (len(t.split()) - 7,) * 2
+    assert got[0, 1] == full(DENSE) and got[1, 2] == full(NAMES) and got[3, 3] == full(MIXED) and got[4, 3] == full(MIXED)
+    # no window of item 1 has enough literal tokens for other values to be evidence
+    at_half = {r.doc_id: r._dc_item for r in dc.flag(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert [at_half[i] for i in range(6)] == [1, 2, None, 3, 3, None]
