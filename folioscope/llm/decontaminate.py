@@ -11,7 +11,8 @@ hash-joined with them. A hit aligns document and item; every window of the
 alignment is then confirmed on the tokens themselves, each equal as template or
 literally, and the values in its slots are compared, without case: within one
 alignment of a document with an item, each value of the item must always stand
-for one value of the document and the other way round. So both verbatim copies
+for one value of the document and the other way round. Windows that hold a value
+which doesn't are no hits, unless all their tokens are equal. So both verbatim copies
 and re-parameterised ones (other names and numbers, consistently put in) are
 caught, and chance hits of a bare pattern aren't.
 
@@ -166,13 +167,13 @@ def _evident(windows: Column) -> Column:
 
 
 def _consistent(windows: Column) -> Column:
-    """The windows, or none if in their slots a value stands for several."""
+    """Without the windows that hold a slot whose value stands for several; windows of equal tokens always stay."""
     pairs = F.array_distinct(F.flatten(F.transform(windows, lambda v: v["slots"])))
-    clashing = let(
-        pairs,
-        lambda ps: F.exists(ps, lambda p: F.exists(ps, lambda q: (p["iv"] == q["iv"]) != (p["dv"] == q["dv"]))),
+    clashing = lambda ps: F.filter(
+        ps, lambda p: F.exists(ps, lambda q: (p["iv"] == q["iv"]) != (p["dv"] == q["dv"]))
     )
-    return let(F.filter(windows, lambda v: ~clashing), _evident)
+    kept = lambda bad: F.filter(windows, lambda v: v["exact"] | ~F.arrays_overlap(v["slots"], bad))
+    return let(let(let(pairs, clashing), kept), _evident)
 
 
 def find_leaks(

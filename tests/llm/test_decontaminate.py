@@ -100,3 +100,22 @@ def test_items_dense_in_values(spark, frame_of, words):
     # no window of item 1 has enough literal tokens for other values to be evidence
     at_half = {r.doc_id: r._dc_item for r in dc.flag(df, spark.createDataFrame(items, "item_id long, text string")).collect()}
     assert [at_half[i] for i in range(6)] == [1, 2, None, 3, 3, None]
+
+
+def test_a_clash_removes_only_the_windows_that_hold_it(spark, frame_of, words):
+    item = (
+        "in the spring of 1990 the old farmer near the river sold all of his cattle to Bob because the price "
+        "of grain in 1990 had risen above what he and his neighbour Tom could pay for it"
+    )
+    filler = words(20, 3)
+    other = item.replace("1990", "1985").replace("Bob", "Joe").replace("Tom", "Sam")
+    texts = [item, item.replace("in 1990", "in 1991"), item.replace("Bob", "Tom"), other, other.replace("in 1985", "in 1986")]
+    got = covered(frame_of([(i, f"{filler} {t} {filler}") for i, t in enumerate(texts)]), spark, [(1, item)])
+    ws = item.split()
+
+    def without(*changed):
+        return sum(not any(a <= c < a + 8 for c in changed) for a in range(len(ws) - 7))
+
+    first, second, bob = ws.index("1990"), len(ws) - 1 - ws[::-1].index("1990"), ws.index("Bob")
+    n = len(ws) - 7
+    assert got == {(0, 1): (n, n), (1, 1): (without(second), n), (2, 1): (without(bob), n), (3, 1): (n, n), (4, 1): (without(first, second), n)}
