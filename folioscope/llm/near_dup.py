@@ -267,7 +267,7 @@ def connected_components(edges: DataFrame, work: Work) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = 85, k: int = 64, t: int = 36, block: int = 128, block_shingles: int = 500_000, slack: float = 0.25
+    docs: DataFrame, percent: int = 85, k: int = 64, t: int = 36, block: int = 128, block_shingles: int = 500_000, slack: float = 0.29
 ) -> DataFrame:
     """(doc, n, component), one row per row of docs; doc is doc_id with null as the least bigint."""
     ship(docs.sparkSession)

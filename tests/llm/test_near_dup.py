@@ -71,6 +71,19 @@ def test_the_pipelines_threshold(spark, frame_of, words):
     assert run(frame_of(rows), percent=80, t=32, slack=0.3) == brute(rows, 80)
 
 
+def test_estimates_ask_for_no_more_than_t_shared_values():
+    import inspect
+
+    defaults = {n: p.default for n, p in inspect.signature(nd.near_duplicates).parameters.items()}
+    k, t, percent = (defaults[n] for n in ("k", "t", "percent"))
+    whole = np.arange(1000, dtype=np.int64)
+    for shared in (t - 1, t, t + 2):
+        # At exactly the threshold; one set holds the other, and `shared` of the whole's k smallest values are in both.
+        part = np.concatenate([whole[:shared], whole[-(10 * percent - shared) :]])
+        links = nd.forest_of_links([1, 2], [whole, part], np.array([0, 0]), k, percent, defaults["slack"], False)
+        assert len(links) == (shared >= t)
+
+
 def test_small_blocks_lose_nothing(spark, frame_of, words):
     rnd = random.Random(5)
     base = words(150, 77)
