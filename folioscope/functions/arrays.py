@@ -13,32 +13,51 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), 0)
 
 
+def scan(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """Running values of an associative `combine`: element i is all of 0 to i combined.
+
+    Each round combines every element with the one 1, 2, 4, ... places before it,
+    so the work is n log n, where a fold that appends to an array copies n * n / 2 elements.
+    """
+    widths = F.filter(F.array(*[F.lit(1 << k) for k in range(30)]), lambda w: w < F.size(values))
+    step = lambda acc, w: F.transform(acc, lambda x, i: F.when(i >= w, combine(F.get(acc, i - w), x)).otherwise(x))
+    return F.aggregate(widths, values, step)
+
+
+def sorted_before(values: Column, x: Column) -> Column:
+    """How many elements of a sorted array are less than x, by bisection."""
+    powers = F.filter(F.array(*[F.lit(1 << k) for k in range(29, -1, -1)]), lambda w: w <= F.size(values))
+    return F.aggregate(powers, F.lit(0), lambda acc, w: F.when(F.coalesce(F.get(values, acc + w - 1) < x, F.lit(False)), acc + w).otherwise(acc))
+
+
 def find_all(text: Column, pattern: str, group: int = 0) -> Column:
     """Matches as an array of (pos, end, value), in code points. Gaps between matches give the positions."""
-    kind = "array<struct<pos:int,end:int,value:string>>"
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    values = matches if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     gaps = F.transform(F.split(text, pattern, -1), F.char_length)
     steps = F.arrays_zip(gaps.alias("gap"), F.transform(matches, F.char_length).alias("size"), values.alias("value"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        pos = acc["at"] + x["gap"]
-        found = F.struct(pos.alias("pos"), (pos + x["size"]).alias("end"), x["value"].alias("value"))
-        return F.struct((pos + x["size"]).alias("at"), F.concat(acc["out"], F.array(found)).alias("out"))
+    def placed(xs: Column) -> Column:
+        ends = scan(F.transform(xs, lambda x: x["gap"] + x["size"]), lambda a, b: a + b)
+        at = lambda x, end: F.struct((end - x["size"]).alias("pos"), end.alias("end"), x["value"].alias("value"))
+        return F.zip_with(xs, ends, at)
 
-    return F.aggregate(F.filter(steps, lambda x: x["size"].isNotNull()), zero, step, lambda acc: acc["out"])
+    return let(F.filter(steps, lambda x: x["size"].isNotNull()), placed)
 
 
 def bag(items: Column) -> Column:
-    """An array of texts with each marked by how many equal ones came before, so that set operations count repeats.
+    """An array of texts in which repeats are marked by how many equal ones came before, so that set operations count them.
 
     The marks are part of the text: on plain strings, set operations hash.
     """
-    return let(
-        F.array_sort(items),
-        lambda s: F.transform(s, lambda x, i: F.concat_ws("\x02", x, (i - F.array_position(s, x)).cast("string"))),
-    )
+
+    def marked(s: Column) -> Column:
+        starts = F.transform(s, lambda x, i: F.when((i > 0) & (F.get(s, i - 1) == x), F.lit(0)).otherwise(i))
+        place = lambda x, nth: F.when(nth == 0, x).otherwise(F.concat_ws("\x02", x, nth.cast("string")))
+        since = F.transform(scan(starts, F.greatest), lambda start, i: i - start)
+        return F.zip_with(s, since, place)
+
+    return let(items, lambda a: F.when(F.size(F.array_distinct(a)) == F.size(a), a).otherwise(let(F.sort_array(a), marked)))
 
 
 def bag_overlap(a: Column, b: Column) -> Column:

@@ -2,8 +2,10 @@
 
 A document's text carries [PAGE n] markers. Windows are closed-form: window i
 starts at i * (window - overlap), and there are 1 + ceil((L - window) / step) of
-them, so they come from one explode with no loop. Pages are attributed in the
-row: markers that start in the window, else the last marker before it.
+them. One pass cuts the text in pieces of one step each, and a window is the head
+of a few neighbouring pieces, so no window looks at the whole text. Pages are
+attributed in the row by bisecting the markers' positions: those that start in
+the window, else the last before it. Only the finished windows are exploded.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.functions.arrays import find_all
+from folioscope.functions.arrays import find_all, let, sorted_before
 from folioscope.functions.text import MARKER, MAX_BODY, chunk_body, pytrim, strip_markers
 from folioscope.operators.pages import ordered_text
 
@@ -40,36 +42,59 @@ def markers(marked: Column) -> Column:
     )
 
 
+def cut(text: Column, window: int, step: int) -> Column:
+    """Array of (chunk_ix, start, end, slice) of a text, in code points."""
+    pieces_of_window = -(-window // step)
+
+    def of(pieces: Column) -> Column:
+        size = step * (F.size(pieces) - 1) + F.char_length(F.element_at(pieces, -1))
+        n = (1 + F.greatest(F.lit(0), F.ceil((size - window) / step))).cast("int")
+
+        def one(i: Column) -> Column:
+            part = F.substring(F.array_join(F.slice(pieces, i + 1, pieces_of_window), ""), 1, window)
+            return F.struct(i.alias("chunk_ix"), (i * step).alias("start"), (i * step + F.char_length(part)).alias("end"), part.alias("slice"))
+
+        return F.when(F.size(pieces) > 0, F.transform(F.sequence(F.lit(0), n - 1), one)).otherwise(F.array().cast(_WINDOWS))
+
+    return let(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{step}}}"), F.lit(0)), of)
+
+
+_WINDOWS = "array<struct<chunk_ix:int,start:int,end:int,slice:string>>"
+
+
 def windows(docs: DataFrame, window: int = 400, overlap: int = 50, text: str = "marked") -> DataFrame:
     """A row per window: chunk_ix, start, end and slice, in code points."""
-    window, step = check_window(window, overlap)
-    size = F.char_length(text)
-    n = F.when(size == 0, 0).otherwise(1 + F.greatest(F.lit(0), F.ceil((size - window) / step))).cast("int")
-    exploded = docs.withColumn("chunk_ix", F.explode(F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))))
-    start = (F.col("chunk_ix") * step).cast("int")
-    return exploded.withColumns(
-        {
-            "start": start,
-            "end": F.least(start + window, size).cast("int"),
-            "slice": F.substring(F.col(text), start + 1, F.lit(window)),
-        }
-    )
+    return docs.withColumn("_w", F.explode(cut(F.col(text), *check_window(window, overlap)))).select(*docs.columns, "_w.*")
 
 
 def pages_of(found: Column, start: Column, end: Column) -> Column:
-    """Distinct pages whose marker starts in [start, end), in order; else the last page before it; else none."""
-    inside = F.array_distinct(F.transform(F.filter(found, lambda m: (m["pos"] >= start) & (m["pos"] < end)), lambda m: m["page"]))
-    before = F.filter(found, lambda m: m["pos"] < start)
-    last = F.slice(F.transform(before, lambda m: m["page"]), -1, 1)
-    return F.when(F.size(inside) > 0, inside).when(F.size(before) > 0, last).otherwise(F.array().cast("array<bigint>"))
+    """Distinct pages whose marker starts in [start, end), in order; else the last page before it; else none.
+
+    found: the markers as one struct of two arrays, pos and page, by position.
+    """
+
+    def of(x: Column) -> Column:
+        inside = F.array_distinct(F.slice(found["page"], x["lo"] + 1, x["hi"] - x["lo"]))
+        before = F.when(x["lo"] > 0, F.array(F.get(found["page"], x["lo"] - 1))).otherwise(F.array().cast("array<bigint>"))
+        return F.when(x["hi"] > x["lo"], inside).otherwise(before)
+
+    return let(F.struct(sorted_before(found["pos"], start).alias("lo"), sorted_before(found["pos"], end).alias("hi")), of)
 
 
 def chunk_bodies(docs: DataFrame, keys: list[str], window: int = 400, overlap: int = 50) -> DataFrame:
     """(keys, chunk_ix, pages, body) of docs(keys, marked); windows of markers and blanks only are dropped."""
-    found = docs.select(*keys, "marked", markers(F.col("marked")).alias("_m"))
-    cut = windows(found, window, overlap).withColumn("fragment", strip_markers(F.col("slice"))).where("fragment <> ''")
-    out = cut.withColumn("pages", pages_of(F.col("_m"), F.col("start"), F.col("end")))
-    return out.select(*keys, "chunk_ix", "pages", chunk_body(F.col("pages"), F.col("fragment")).alias("body"))
+    window, step = check_window(window, overlap)
+
+    def paged(found: Column) -> Column:
+        def of(w: Column) -> Column:
+            return F.struct(w["chunk_ix"].alias("chunk_ix"), w["slice"].alias("slice"), pages_of(found, w["start"], w["end"]).alias("pages"))
+
+        return F.transform(cut(F.col("marked"), window, step), of)
+
+    two = lambda ms: F.struct(F.transform(ms, lambda m: m["pos"]).alias("pos"), F.transform(ms, lambda m: m["page"]).alias("page"))
+    found = let(markers(F.col("marked")), two)
+    out = docs.select(*keys, F.explode(let(found, paged)).alias("_w")).select(*keys, "_w.chunk_ix", "_w.pages", strip_markers(F.col("_w.slice")).alias("fragment"))
+    return out.where("fragment <> ''").select(*keys, "chunk_ix", "pages", chunk_body(F.col("pages"), F.col("fragment")).alias("body"))
 
 
 def chunk_counts(bodies: DataFrame, keys: list[str]) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import metrics
 from folioscope.functions.arrays import cosine
 from folioscope.functions.text import base64_line, page_number, stem, strip_prefix
-from folioscope.operators import chunking, merge, recognition, retrieval, searchable
+from folioscope.operators import chunking, merge, recognition, remote, retrieval, searchable
 from folioscope.operators import pages as pg
 from folioscope.plans.tables import answer_pairs, indexed_pages, pages, table
 from folioscope.streaming import ingest
@@ -275,20 +275,47 @@ SELECT event_id, code, CASE WHEN code = 200 THEN 'ok' WHEN code IN (401, 403) TH
 def retry_class(spark, sf_dir) -> DataFrame:
     codes = F.array(*[F.lit(c) for c in (200, 401, 403, 404, 429, 500, 502, 503, 504, 418)])
     e = table(spark, sf_dir, "events").select("event_id", F.get(codes, (F.col("event_id") % 10).cast("int")).alias("code"))
-    return e.select("event_id", "code", recognition.response_class(F.col("code")).alias("on_submit"), recognition.response_class(F.col("code"), True).alias("on_poll"))
+    return e.select("event_id", "code", remote.response_class(F.col("code")).alias("on_submit"), remote.response_class(F.col("code"), True).alias("on_poll"))
 
 
-@query("SELECT conv_id AS doc, turn AS page_no, true AS ok, coalesce(text, '') AS text FROM conversations")
-def recognition_run(spark, sf_dir) -> DataFrame:
-    """Batches of pages sent to a deterministic stand-in and joined back by position."""
+def _recognised(spark, sf_dir, make_transport) -> tuple[DataFrame, DataFrame]:
+    """Replies by batch, and pages joined back by position. A request's key is made of the numbers of its batch."""
     p = pg.with_chunks(pages(spark, sf_dir), chunk_size=3, batch_size=2)
     group = ["doc", "chunk_id", "batch_id"]
     sent = pg.ordered_text(p, group, "page_no", "text", "\f", "joined")
-    batches = sent.select(*group, F.sha2("joined", 256).alias("request"), F.col("joined").cast("binary").alias("payload"))
-    replies = recognition.recognise(batches, recognition.EchoTransport, group)
+    batches = sent.select(*group, F.concat_ws(":", *[F.col(g).cast("string") for g in group]).alias("request"), F.col("joined").cast("binary").alias("payload"))
+    replies = remote.recognise(batches, make_transport, group)
     parsed = recognition.parse_pages(replies.where("ok").select(*group, recognition.combine_lines(F.col("body")).alias("response")))
     numbered = p.withColumn("pos", (F.row_number().over(Window.partitionBy(*group).orderBy("page_no")) - 1).cast("int")).drop("text")
-    return pg.positional_left_join(numbered, parsed, group).select("doc", "page_no", "ok", "text")
+    return replies, pg.positional_left_join(numbered, parsed, group).select("doc", "page_no", "ok", "text")
+
+
+@query("SELECT conv_id AS doc, turn AS page_no, true AS ok, coalesce(text, '') AS text FROM conversations")
+def recognition_run(spark, sf_dir) -> DataFrame:
+    """Batches of pages sent to a deterministic stand-in and joined back by position."""
+    return _recognised(spark, sf_dir, remote.EchoTransport)[1]
+
+
+_FATE = "(conv_id + turn // 3 + turn % 3 // 2) % 10"
+
+
+@query(
+    f"""SELECT conv_id AS doc, turn AS page_no, {_FATE} NOT IN (0, 1, 3, 5) AS ok, CASE WHEN {_FATE} IN (0, 1, 3, 5) THEN '' ELSE coalesce(text, '') END AS text FROM conversations"""
+)
+def recognition_with_faults(spark, sf_dir) -> DataFrame:
+    """The same with refused keys, bad requests, retries, time-outs and late answers: lost pages stay, empty."""
+    return _recognised(spark, sf_dir, remote.FaultyTransport)[1]
+
+
+@query(
+    f"""SELECT DISTINCT conv_id AS doc, CAST(turn // 3 AS INT) AS chunk_id, CAST(turn % 3 // 2 AS INT) AS batch_id, {_FATE} NOT IN (0, 1, 3, 5) AS ok,
+  CASE {_FATE} WHEN 0 THEN 'auth' WHEN 1 THEN 'lost' WHEN 3 THEN 'lost' WHEN 5 THEN 'lost' END AS error_kind,
+  CAST(CASE {_FATE} WHEN 2 THEN 4 WHEN 3 THEN 12 WHEN 6 THEN 2 ELSE 1 END AS INT) AS submits,
+  CAST(CASE {_FATE} WHEN 0 THEN 0 WHEN 1 THEN 0 WHEN 3 THEN 0 WHEN 4 THEN 4 WHEN 5 THEN 200 WHEN 7 THEN 3 ELSE 1 END AS INT) AS polls FROM conversations"""
+)
+def recognition_calls(spark, sf_dir) -> DataFrame:
+    """What became of every request, and how many submissions and polls it took: 12 retries, 600 s of polls 3 s apart."""
+    return _recognised(spark, sf_dir, remote.FaultyTransport)[0].select("doc", "chunk_id", "batch_id", "ok", "error_kind", "submits", "polls")
 
 
 @query("SELECT conv_id AS doc, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS page_no, text FROM conversations")

@@ -10,14 +10,14 @@ from pyspark.sql import functions as F
 from folioscope.config import Settings
 from folioscope.functions import metrics
 from folioscope.functions.encoders import hashed_words
-from folioscope.operators import chunking, recognition, retrieval
+from folioscope.operators import chunking, recognition, remote, retrieval
 from folioscope.operators import pages as pg
 from folioscope.operators.merge import concat_fragments
 
 
 def recognise_documents(
     pages: DataFrame,
-    make_transport: recognition.Transport,
+    make_transport: remote.Transport,
     store: str,
     settings: Settings | None = None,
     payload: Callable[[Column], Column] = concat_fragments,
@@ -38,8 +38,8 @@ def recognise_documents(
     parts = F.array_sort(F.collect_list(F.struct("page_no", "content")))
     sent = packed.groupBy(*request).agg(parts.alias("parts"))
     requests = sent.select(*request, payload(F.transform("parts", lambda x: x["content"])).alias("payload")).withColumn("request", F.sha2("payload", 256))
-    calls = recognition.CallPolicy(submit_rate=settings.ocr_submit_rps, poll_rate=settings.ocr_poll_rps)
-    recognition.recognise(requests, make_transport, request, calls, settings.tasks).write.mode("overwrite").parquet(store)
+    calls = remote.CallPolicy(submit_rate=settings.ocr_submit_rps, poll_rate=settings.ocr_poll_rps)
+    remote.recognise(requests, make_transport, request, calls, settings.tasks).write.mode("overwrite").parquet(store)
     replies = pages.sparkSession.read.parquet(store)
     parsed = recognition.parse_pages(replies.where("ok").select(*request, recognition.combine_lines(F.col("body")).alias("response")))
     places = sent.select(*request, F.posexplode(F.transform("parts", lambda x: x["page_no"])).alias("pos", "page_no"))

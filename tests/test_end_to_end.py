@@ -4,8 +4,7 @@ import logging
 from pyspark.sql import functions as F
 
 from folioscope.config import Settings
-from folioscope.operators import recognition as rec
-from folioscope.operators import retrieval
+from folioscope.operators import remote, retrieval
 from folioscope.plans import end_to_end as e2e
 from folioscope.streaming import ingest
 from folioscope.streaming.progress import JsonProgress
@@ -16,12 +15,12 @@ def formfeed(parts):
 
 
 def test_documents_to_results(spark, tmp_path):
-    class Picky(rec.EchoTransport):
+    class Picky(remote.EchoTransport):
         def submit(self, key, payload):
             if b"secret" in payload:
-                return rec.Reply(401, "refused")
+                return remote.Reply(401, "refused")
             if b"lost" in payload:
-                return rec.Reply(400)
+                return remote.Reply(400)
             return super().submit(key, payload)
 
     rows = [("good", i, f"text {i}".encode()) for i in range(23)]
