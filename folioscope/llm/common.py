@@ -23,10 +23,17 @@ _made: list[tuple[SparkSession, str]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own if unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir.
+
+    Only a session whose executors live in the driver's own process (master
+    local) may do without: it gets a folder of this machine. Anywhere else that
+    would be a folder that executors don't share, so it is an error.
+    """
     sc = spark.sparkContext
     at = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not at:
+        if sc.master != "local" and not sc.master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir is unset: on a cluster it must name a folder that driver and executors share")
         at = tempfile.mkdtemp(prefix="folioscope-")
         sc.setCheckpointDir(at)
     return at.rstrip("/")
@@ -89,13 +96,16 @@ def skew_join(
 ) -> DataFrame:
     """Equi-join in which keys heavy on the left are spread over `salts` reducers.
 
-    `right` has one row per key and its left row count in `weight`. The HOT_KEYS
+    `right` holds each key's left row count in `weight`, and any number of rows per key. The HOT_KEYS
     heaviest keys (a fixed bound, so broadcasting them is safe) get a salt from
     the left column `spread`; their right rows are repeated once per salt. All
-    other keys join plainly. The result doesn't depend on which keys are hot.
+    other keys join plainly; the 1,001st key can't hold more than a thousandth of the left rows. The
+    result doesn't depend on which keys are hot.
     """
     hot = (
         right.where(F.col(weight) >= 256)
+        .groupBy(*keys)
+        .agg(F.max(weight).alias(weight))
         .orderBy(F.col(weight).desc(), *keys)
         .limit(HOT_KEYS)
         .select(*keys, F.lit(True).alias("_hot"))
@@ -118,12 +128,13 @@ def skew_join(
 FILTER_BITS = 1 << 26
 
 
-def keep_members(df: DataFrame, column: str, members: DataFrame) -> DataFrame:
-    """Rows of df whose `column` may be among those of `members`: all that are, and few others.
+def mark_members(df: DataFrame, column: str, members: DataFrame, name: str) -> DataFrame:
+    """df with a boolean `name`: true where `column` is among those of `members`, and for few other rows.
 
-    A bitmap of fixed size over hashes, made by built-in aggregates, spares a
-    following join the shuffle of rows that have no partner. With very many
-    members it fills up and passes more; it never drops a member.
+    A bitmap of fixed size over hashes, made by built-in aggregates and broadcast, tells
+    rows that may have a partner from those that have none, which then needn't be shuffled.
+    With very many members it fills up and says true more often; it never says false
+    of a member.
     """
     place = F.pmod(F.xxhash64(column), F.lit(FILTER_BITS)) + 1
     bits = (
@@ -131,7 +142,12 @@ def keep_members(df: DataFrame, column: str, members: DataFrame) -> DataFrame:
         .groupBy(F.bitmap_bucket_number("_km_h").alias("_km_bucket"))
         .agg(F.bitmap_construct_agg(F.bitmap_bit_position("_km_h")).alias("_km_bits"))
     )
-    out = df.withColumn("_km_h", place).withColumn("_km_bucket", F.bitmap_bucket_number("_km_h")).join(F.broadcast(bits), "_km_bucket")
+    out = df.withColumn("_km_h", place).withColumn("_km_bucket", F.bitmap_bucket_number("_km_h")).join(F.broadcast(bits), "_km_bucket", "left")
     at = F.bitmap_bit_position("_km_h")
     byte = F.conv(F.hex(F.substring("_km_bits", (F.floor(at / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
-    return out.where(F.getbit(byte, (at % 8).cast("int")) == 1).select(*df.columns)
+    return out.select(*df.columns, F.coalesce(F.getbit(byte, (at % 8).cast("int")) == 1, F.lit(False)).alias(name))
+
+
+def keep_members(df: DataFrame, column: str, members: DataFrame) -> DataFrame:
+    """Rows of df whose `column` may be among those of `members`: all that are, and few others."""
+    return mark_members(df, column, members, "_km").where("_km").drop("_km")

@@ -19,10 +19,13 @@ caught, and chance hits of a bare pattern aren't.
 A document is contaminated if consistent alignments cover at least `coverage`
 of some item's windows.
 
-The benchmark's window hashes are counted first; up to `broadcast_windows` of
-them (8 bytes each) are broadcast, beyond that the join shuffles. Only hashes
-and positions are exploded, never text; texts of hit documents are read again
-to confirm, with the tokens of the items they are aligned with.
+The benchmark's window hashes are counted first. Up to `broadcast_windows` of
+them are broadcast, as hashes and nothing else (some 32 bytes each in Spark's hash table, so
+at most 8 MB); beyond that a bitmap of fixed size takes their place, and the join that
+follows is salted. Only hashes and positions are exploded, never text. Texts
+of hit documents alone are read again and cut to the tokens of each alignment;
+these meet the item's tokens in a salted join, as one passage may be in any
+number of documents. Documents without hits are never shuffled.
 
 Defined cases: a null or empty text has no windows and is clean; rows that share
 a doc_id and a text are treated alike, and all are returned; items shorter than
@@ -37,11 +40,13 @@ only literal windows and those without names are found.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions.arrays import let
-from folioscope.llm.common import SPACE_PATTERN
+from folioscope.llm.common import SPACE_PATTERN, Work, keep_members, mark_members, skew_join
 
 #: Words that are units when they follow a number. Fixed values.
 UNITS = (
@@ -82,16 +87,28 @@ def tokens(text: Column) -> Column:
 
 def window_hashes(ts: Column, w: int | Column) -> Column:
     """Hashes of all windows of w tokens; w from a column gives the same values, by slices, which are far slower."""
-    if isinstance(w, int):
-        of = lambda hs, i: F.xxhash64(*[F.get(hs, i + k) for k in range(w)])
-    else:
-        of = lambda hs, i: F.xxhash64(F.slice(hs, i + 1, w))
-    return let(
-        F.transform(ts, lambda x: F.xxhash64(x)),
-        lambda hs: F.when(F.size(hs) < w, F.array().cast("array<bigint>")).otherwise(
-            F.transform(F.sequence(F.lit(0), F.size(hs) - w), lambda i: of(hs, i))
-        ),
-    )
+    return let(F.transform(ts, lambda x: F.xxhash64(x)), lambda hs: _hashes_at(hs, w, lambda h, i: h))
+
+
+def _hashes_at(hs: Column, w: int | Column, form: Callable[[Column, Column], Column], kind: str = "array<bigint>") -> Column:
+    """form(hash, place) of every window of w token hashes."""
+    of = (lambda i: F.xxhash64(*[F.get(hs, i + k) for k in range(w)])) if isinstance(w, int) else (lambda i: F.xxhash64(F.slice(hs, i + 1, w)))
+    return F.when(F.size(hs) < w, F.array().cast(kind)).otherwise(F.transform(F.sequence(F.lit(0), F.size(hs) - w), lambda i: form(of(i), i)))
+
+
+def _all_windows(c: Column, l: Column, sizes: list[int]) -> Column:
+    """(w, pos, hc, hl) of all windows of each of the sizes, from token arrays that are hashed once."""
+    kind = "array<struct<w:int,pos:int,hc:bigint,hl:bigint>>"
+
+    def of(x: Column) -> Column:
+        def sized(w: int) -> Column:
+            window = lambda hs, i: F.xxhash64(*[F.get(hs, i + k) for k in range(w)])
+            both = lambda hc, i: F.struct(F.lit(w).alias("w"), i.alias("pos"), hc.alias("hc"), window(x["l"], i).alias("hl"))
+            return _hashes_at(x["c"], w, both, kind)
+
+        return F.concat(*[sized(w) for w in sizes])
+
+    return let(F.struct(F.transform(c, lambda t: F.xxhash64(t)).alias("c"), F.transform(l, lambda t: F.xxhash64(t)).alias("l")), of)
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -135,15 +152,16 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
     return at.select("item_id", "item", "w", "ipos", F.explode(ways).alias("h"))
 
 
-def _windows(d: Column, x: Column) -> Column:
-    """Windows of one alignment x of an item with the document d (c, l) whose tokens all agree, each as template or as it is."""
-    first = F.greatest(F.lit(0), -x["offset"])
-    last = F.least(F.size(x["ic"]), F.size(d["c"]) - x["offset"]) - x["w"]
+def _windows(x: Column) -> Column:
+    """Windows of an alignment whose tokens all agree, each as template or as it is.
+
+    x: the item's tokens (ic, il), window w, and the document's tokens (dc, dl) from the item's token `start` on.
+    """
 
     def window(i: Column) -> Column:
         cut = lambda ts, at: F.slice(ts, at + 1, x["w"])
-        at = x["offset"] + i
-        both = F.arrays_zip(cut(x["ic"], i).alias("ic"), cut(x["il"], i).alias("il"), cut(d["c"], at).alias("dc"), cut(d["l"], at).alias("dl"))
+        at = i - x["start"]
+        both = F.arrays_zip(cut(x["ic"], i).alias("ic"), cut(x["il"], i).alias("il"), cut(x["dc"], at).alias("dc"), cut(x["dl"], at).alias("dl"))
         return let(
             both,
             lambda zs: F.struct(
@@ -151,13 +169,13 @@ def _windows(d: Column, x: Column) -> Column:
                 F.forall(zs, lambda z: z["il"] == z["dl"]).alias("exact"),
                 F.forall(zs, lambda z: (z["ic"] == z["dc"]) | (z["il"] == z["dl"])).alias("agrees"),
                 _usable(cut(x["ic"], i), x["w"]).alias("usable"),
-                F.transform(
-                    F.filter(zs, lambda z: z["ic"].rlike(_SLOT)), lambda z: F.struct(z["il"].alias("iv"), z["dl"].alias("dv"))
-                ).alias("slots"),
+                # As texts "value of the item, space, value of the document": tokens hold no spaces.
+                F.transform(F.filter(zs, lambda z: z["ic"].rlike(_SLOT)), lambda z: F.concat_ws(" ", z["il"], z["dl"])).alias("slots"),
             ),
         )
 
-    places = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
+    last = x["start"] + F.size(x["dc"]) - x["w"]
+    places = F.when(last >= x["start"], F.sequence(x["start"], last)).otherwise(F.array().cast("array<int>"))
     return F.filter(F.transform(places, window), lambda v: v["agrees"])
 
 
@@ -168,67 +186,77 @@ def _evident(windows: Column) -> Column:
 
 def _consistent(windows: Column) -> Column:
     """Without the windows that hold a slot whose value stands for several; windows of equal tokens always stay."""
+    sides = {"iv": 0, "dv": 1}
+
+    def clashing(ps: Column) -> Column:
+        """Pairs, all different, that share one value but not the other: values seen twice, found by sorting."""
+        value = lambda p, side: F.get(F.split(p, " "), sides[side])
+
+        def twice(side: str) -> Column:
+            return let(F.sort_array(F.transform(ps, lambda p: value(p, side))), lambda s: F.filter(s, lambda v, i: (i > 0) & (v == F.get(s, i - 1))))
+
+        seen = F.struct(*[twice(s).alias(s) for s in sides])
+        return let(seen, lambda d: F.filter(ps, lambda p: F.array_contains(d["iv"], value(p, "iv")) | F.array_contains(d["dv"], value(p, "dv"))))
+
     pairs = F.array_distinct(F.flatten(F.transform(windows, lambda v: v["slots"])))
-    clashing = lambda ps: F.filter(
-        ps, lambda p: F.exists(ps, lambda q: (p["iv"] == q["iv"]) != (p["dv"] == q["dv"]))
-    )
     kept = lambda bad: F.filter(windows, lambda v: v["exact"] | ~F.arrays_overlap(v["slots"], bad))
     return let(let(let(pairs, clashing), kept), _evident)
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, window: int = 8, min_tokens: int = 5, coverage: float = 0.5, broadcast_windows: int = 1_000_000
+    docs: DataFrame, benchmark: DataFrame, window: int = 8, min_tokens: int = 5, coverage: float = 0.5, broadcast_windows: int = 250_000
 ) -> DataFrame:
     """(_dc_doc, _dc_row, item_id, item, covered, total): alignments of documents with items that reach the coverage."""
-    items = benchmark_items(benchmark, window, min_tokens)
-    bench = benchmark_windows(items)
+    work = Work(docs.sparkSession, "leaks")
+    items = benchmark_items(benchmark, window, min_tokens).withColumn("len", F.size("ic"))
+    bench = work.save(benchmark_windows(items), "windows")
     sizes = {r["w"]: r["n"] for r in bench.groupBy("w").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most `window` rows
-    small = sum(sizes.values()) <= broadcast_windows
-    hint = F.broadcast if small else (lambda x: x)
     keyed = _keyed(docs.select("doc_id", "text"))
     text = F.coalesce(F.col("text"), F.lit(""))
-    both = [tokens(template(text)).alias("c"), tokens(literal(text)).alias("l")]
-    with_c = keyed.select("_dc_doc", "_dc_row", *both)
-    hits = None
-    for w in sorted(sizes) or [window]:
-        keys = bench.where(F.col("w") == w).select("h").distinct()
-        # Each form of the tokens is named once only, as a column named twice is computed twice.
-        both_hashes = F.arrays_zip(window_hashes(F.col("c"), w).alias("hc"), window_hashes(F.col("l"), w).alias("hl"))
-        wins = with_c.select("_dc_doc", "_dc_row", F.posexplode(both_hashes).alias("pos", "x")).select(
-            "_dc_doc", "_dc_row", "pos", F.explode(F.when(F.col("x.hc") == F.col("x.hl"), F.array("x.hc")).otherwise(F.array("x.hc", "x.hl"))).alias("h")
-        )
-        found = wins.join(hint(keys), "h", "left_semi").withColumn("w", F.lit(w))
-        hits = found if hits is None else hits.unionByName(found)
-    # Identical rows give identical hits; the windows of an alignment give it once.
-    aligned = (
-        hits.join(hint(bench), ["h", "w"])
+    c, l = tokens(template(text)), tokens(literal(text))
+    hashed = keyed.select("_dc_doc", "_dc_row", F.explode(_all_windows(c, l, sorted(sizes) or [window])).alias("x"))
+    ways = F.when(F.col("x.hc") == F.col("x.hl"), F.array("x.hc")).otherwise(F.array("x.hc", "x.hl"))
+    found = hashed.select("_dc_doc", "_dc_row", "x.w", "x.pos", F.explode(ways).alias("h"))
+    keys = bench.select("h").distinct()
+    small = sum(sizes.values()) <= broadcast_windows
+    hits = work.save(found.join(F.broadcast(keys), "h", "left_semi") if small else keep_members(found, "h", keys), "hits")
+    # One passage may be in any number of documents, so hits meet the benchmark's windows in a salted join.
+    weights = hits.groupBy("h", "w").agg(F.count(F.lit(1)).alias("n"))
+    places = bench.select("h", "w", "item_id", "item", "ipos").join(weights, ["h", "w"])
+    aligned = work.save(
+        skew_join(hits, places, ["h", "w"], "n", "_dc_doc")
         .select("_dc_doc", "_dc_row", "item_id", "item", (F.col("pos") - F.col("ipos")).alias("offset"))
-        .distinct()
-        .join(hint(items), ["item_id", "item"])
+        .distinct(),  # the windows of an alignment give it once, and identical rows give the same
+        "aligned",
     )
-    per_doc = aligned.groupBy("_dc_doc", "_dc_row").agg(F.collect_list(F.struct("item_id", "item", "offset", "w", "ic", "il")).alias("hits"))
-    covered = (
-        keyed.join(per_doc, ["_dc_doc", "_dc_row"])
-        .select("_dc_doc", "_dc_row", *both, "hits")
-        .select(
-            "_dc_doc",
-            "_dc_row",
-            F.explode(
-                let(
-                    F.struct("c", "l"),
-                    lambda d: F.transform(
-                        "hits",
-                        lambda x: F.struct(
-                            x["item_id"].alias("item_id"),
-                            x["item"].alias("item"),
-                            (F.size(x["ic"]) - x["w"] + 1).alias("total"),
-                            F.transform(let(_windows(d, x), _consistent), lambda v: v["ipos"]).alias("ipos"),
-                        ),
-                    ),
-                )
-            ).alias("x"),
-        )
-        .select("_dc_doc", "_dc_row", "x.item_id", "x.item", "x.total", F.explode("x.ipos").alias("ipos"))
+    uses = work.save(items.join(aligned.groupBy("item_id", "item").agg(F.count(F.lit(1)).alias("n")), ["item_id", "item"]), "uses")
+    sized = skew_join(aligned, uses.select("item_id", "item", "len", "n"), ["item_id", "item"], "n", "_dc_doc")
+    per_doc = sized.groupBy("_dc_doc", "_dc_row").agg(F.collect_list(F.struct("item_id", "item", "offset", "len")).alias("hits"))
+    part = lambda ts, x: F.slice(ts, F.greatest(x["offset"], F.lit(0)) + 1, x["len"] + F.least(x["offset"], F.lit(0)))
+    cuts = let(
+        F.struct(c.alias("c"), l.alias("l")),
+        lambda d: F.transform(
+            "hits",
+            lambda x: F.struct(
+                x["item_id"].alias("item_id"),
+                x["item"].alias("item"),
+                F.greatest(-x["offset"], F.lit(0)).alias("start"),
+                part(d["c"], x).alias("dc"),
+                part(d["l"], x).alias("dl"),
+            ),
+        ),
+    )
+    sliced = keep_members(keyed, "_dc_doc", aligned).join(per_doc, ["_dc_doc", "_dc_row"]).select("_dc_doc", "_dc_row", F.explode(cuts).alias("x"))
+    sliced = sliced.select("_dc_doc", "_dc_row", "x.*")
+    met = skew_join(sliced, uses.select("item_id", "item", "w", "ic", "il", "n"), ["item_id", "item"], "n", "_dc_doc")
+    names = ["ic", "il", "w", "start", "dc", "dl"]
+    covered = met.select(
+        "_dc_doc",
+        "_dc_row",
+        "item_id",
+        "item",
+        (F.size("ic") - F.col("w") + 1).alias("total"),
+        F.explode(F.transform(let(F.struct(*names), lambda x: let(_windows(x), _consistent)), lambda v: v["ipos"])).alias("ipos"),
     )
     return (
         covered.groupBy("_dc_doc", "_dc_row", "item_id", "item")
@@ -239,13 +267,18 @@ def find_leaks(
 
 def flag(docs: DataFrame, benchmark: DataFrame, **parameters) -> DataFrame:
     """docs with _dc_item (the item covered best, the smallest of equals, or null), _dc_covered and _dc_total."""
-    best = (
+    best = Work(docs.sparkSession, "flags").save(
         find_leaks(docs, benchmark, **parameters)
         .groupBy("_dc_doc", "_dc_row")
         .agg(F.min(F.struct((-F.col("covered") / F.col("total")).alias("x"), "item_id", "covered", "total")).alias("b"))
-        .select("_dc_doc", "_dc_row", F.col("b.item_id").alias("_dc_item"), F.col("b.covered").alias("_dc_covered"), F.col("b.total").alias("_dc_total"))
+        .select("_dc_doc", "_dc_row", F.col("b.item_id").alias("_dc_item"), F.col("b.covered").alias("_dc_covered"), F.col("b.total").alias("_dc_total")),
+        "best",
     )
-    return _keyed(docs).join(best, ["_dc_doc", "_dc_row"], "left").drop("_dc_doc", "_dc_row")
+    marked = mark_members(_keyed(docs), "_dc_doc", best, "_dc_may")
+    out = [*docs.columns, "_dc_item", "_dc_covered", "_dc_total"]
+    # Only texts of flagged documents meet the flags; the others stay where they are.
+    clean = marked.where("not _dc_may").withColumns({c: F.lit(None).cast(best.schema[c].dataType) for c in out[-3:]})
+    return marked.where("_dc_may").join(best, ["_dc_doc", "_dc_row"], "left").select(*out).unionByName(clean.select(*out))
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:
