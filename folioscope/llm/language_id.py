@@ -11,12 +11,14 @@ before and after, whose own labels are not counted; every byte of every text is
 labelled exactly once.
 
 Training sees at most `max_docs` documents per language (smallest hash of
-doc_id) and `spans_per_doc` spans out of `max_bytes` bytes of each: a documented
-bound for the classifier only. Prediction covers all texts in full.
+doc_id) and `spans_per_doc` spans of each, a documented bound for the classifier
+only. Spans are drawn on the executors, by keyed hash, from anywhere in the whole
+text; only they come to the driver. Prediction covers all texts in full.
 
 Defined cases: a text that is null or has no letter is "und" with score 0; with
 no labelled document at all every text is "und"; repeated rows are each
-predicted; only text is an input of a prediction.
+predicted; of rows that share a doc_id, training takes one that has the smallest
+of their languages; only text is an input of a prediction.
 """
 
 from __future__ import annotations
@@ -177,8 +179,8 @@ class BiGRU:
         return sums / np.maximum(sums.sum(axis=1, keepdims=True), 1e-12)
 
 
-def train(texts: list[bytes], labels: list[str], hidden: int = 8, span: int = 64, steps: int = 700, batch: int = 128, rate: float = 0.02, spans_per_doc: int = 8, seed: int = 3) -> BiGRU:
-    """A BiGRU fitted to labelled texts by truncated spans, Adam and a falling rate."""
+def train(pieces: list[list[bytes]], labels: list[str], hidden: int = 8, span: int = 64, steps: int = 700, batch: int = 128, rate: float = 0.02, seed: int = 3) -> BiGRU:
+    """A BiGRU fitted to spans of at most `span` bytes of labelled texts, by Adam and a falling rate."""
     rng = np.random.default_rng(seed)
     langs = sorted(set(labels))
     H, K = hidden, len(langs)
@@ -192,25 +194,25 @@ def train(texts: list[bytes], labels: list[str], hidden: int = 8, span: int = 64
     if K < 2:
         return model
     xs, ys = [], []
-    for t, l in zip(texts, labels, strict=True):
-        data = np.frombuffer(t, np.uint8)
-        if len(data) == 0:
-            continue
-        starts = np.append(rng.integers(0, max(1, len(data) - span + 1), spans_per_doc - 1), 0)
-        for a in np.unique(starts):
-            row, piece = np.zeros(span, np.uint8), data[a : a + span]
+    for own, l in zip(pieces, labels, strict=True):
+        for data in own:
+            row, piece = np.zeros(span, np.uint8), np.frombuffer(data, np.uint8)
+            if len(piece) == 0:
+                continue
             if rng.random() < 0.4:  # short texts, and the starts and ends of longer ones, have zeros around them
                 piece = piece[: rng.integers(6, span)]
             at = rng.integers(0, span - len(piece) + 1)
             row[at : at + len(piece)] = piece
             xs.append(row)
             ys.append(langs.index(l))
+    if not xs:
+        return model
     x, y = np.array(xs), np.array(ys)
     by = [np.flatnonzero(y == k) for k in range(K)]
     m = [np.zeros_like(p) for p in model.parameters()]
     v = [np.zeros_like(p) for p in model.parameters()]
     for step in range(1, steps + 1):
-        ix = np.concatenate([rng.choice(b, max(1, batch // K)) for b in by])  # as many of each language
+        ix = np.concatenate([rng.choice(b, max(1, batch // K)) for b in by if len(b)])  # as many of each language
         loss, grads = model.gradients(np.ascontiguousarray(x[ix].T), y[ix], (x[ix].T != 0).astype(np.float32))
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
         scale = min(1.0, 1.0 / (norm + 1e-9))
@@ -226,7 +228,15 @@ def held_out() -> F.Column:
     return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
 
 
-def fit(docs: DataFrame, max_docs: int = 400, max_bytes: int = 4096) -> BiGRU | None:
+def drawn_spans(text: F.Column, key: F.Column, n: int, span: int) -> F.Column:
+    """The first span of a text and n - 1 others that a keyed hash picks from its whole length."""
+    data = F.encode(text, "utf-8")
+    room = F.greatest(F.octet_length(text) - span, F.lit(0)) + 1
+    starts = F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda j: F.when(j == 0, 0).otherwise(F.pmod(F.xxhash64(key, j), room)).cast("int"))
+    return F.transform(F.sort_array(F.array_distinct(starts)), lambda a: F.substring(data, a + 1, F.lit(span)))
+
+
+def fit(docs: DataFrame, max_docs: int = 400, spans_per_doc: int = 8, span: int = 64) -> BiGRU | None:
     """Trains on documents with a language that aren't held out. None if there are none."""
     from pyspark.sql import Window
 
@@ -237,19 +247,20 @@ def fit(docs: DataFrame, max_docs: int = 400, max_bytes: int = 4096) -> BiGRU |
         place = F.row_number().over(Window.partitionBy(*by).orderBy("h", "doc_id"))
         ranked = ranked.withColumn("k", place).where(F.col("k") <= (max(1, -(-max_docs // 32)) if len(by) > 1 else max_docs))
     picked = ranked.groupBy("doc_id").agg(F.min("lang").alias("y"))
-    # Training spans are cut from the first `max_bytes` bytes; prediction reads whole texts.
-    data = F.encode("text", "utf-8")
+    one = F.struct(F.xxhash64("text").alias("h"), drawn_spans(F.col("text"), F.col("doc_id"), spans_per_doc, span).alias("spans"))
     rows = (
-        docs.select("doc_id", "text")
+        usable.select("doc_id", "text", "lang")
         .join(F.broadcast(picked), "doc_id")  # at most max_docs per language
-        .dropDuplicates(["doc_id"])
-        .select("doc_id", "y", F.substring(data, 1, max_bytes).alias("t"))
+        .where("lang = y")
+        .groupBy("doc_id", "y")
+        .agg(F.min(one).alias("x"))
+        .select("doc_id", "y", "x.spans")
         .orderBy("doc_id")
         .collect()
     )
     if not rows:
         return None
-    return train([bytes(r["t"]) for r in rows], [r["y"] for r in rows])
+    return train([[bytes(s) for s in r["spans"]] for r in rows], [r["y"] for r in rows], span=span)
 
 
 def predict(docs: DataFrame, model: BiGRU | None) -> DataFrame:

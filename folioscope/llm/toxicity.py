@@ -3,32 +3,38 @@
 A document's features are its distinct lower-cased words and their prefixes,
 hashed to `bits` bits; each is present or not. Features that toxic documents of
 the sample don't show clearly more often are screened out, which keeps the
-model sparse and long clean texts from adding up noise. The model has
+model sparse and long clean texts from adding up noise: twice the log likelihood
+ratio of a feature must reach 2 ln(features / `chance`), so that among all features of
+the sample fewer than `chance` are expected to get in by chance alone. The model has
 one weight per feature, shared by all thresholds, and ordered thresholds
 theta_1 < theta_2 < ...: P(grade > k) = sigmoid(score - theta_k). The expected
 severity is the sum of these probabilities.
 
 Grades: 0 for clean labels. Toxic labels are split in two by how many telling
 features they have (features far likelier in toxic documents of the sample): 1
-below the median, 2 from it on. A label column with more than two levels is used as
-it is.
+below the median, 2 from it on. So with a binary label the severity that is learned is
+an amount of telling features, not a judgement anyone made; a label column with more
+than two levels is used as it is.
 
 Fitting sees at most `max_rows` labelled documents (smallest hash of doc_id): a
-documented bound for the classifier only. Their hashed features come to the
-driver, at most `max_features` of each: those of the whole text, chosen by hash
-where a text has more. Scoring reads every whole text of all documents.
+documented bound for the classifier only. All hashed features of their whole
+texts come to the driver: four bytes each, at most four a distinct word and 2^bits a
+text. Scoring reads every whole text of all documents.
 
 Defined cases: a null or empty text scores the bias alone and is not toxic;
 a document labelled several times takes the worst label; without both classes
-in the labels nothing is toxic; repeated rows are each scored; all columns of the input
+in the labels, or with so few that no feature reaches the evidence, nothing is toxic (a
+warning says so); repeated rows are each scored; all columns of the input
 are passed through by `keep_clean`, others are ignored.
 """
 
 from __future__ import annotations
 
 import re
+import uuid
+import warnings
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
@@ -60,6 +66,7 @@ class Ordinal:
     weights: np.ndarray
     thetas: np.ndarray
     bits: int
+    name: str = field(default_factory=lambda: uuid.uuid4().hex)  # goes with the model wherever it is sent
 
     def severity(self, score: np.ndarray) -> np.ndarray:
         z = np.clip(score[:, None] - self.thetas[None, :], -40, 40)
@@ -86,12 +93,13 @@ class Sparse:
         return out
 
 
-def fit_ordinal(table: Sparse, grades: np.ndarray, bits: int, epochs: int = 300, l2: float = 1e-3, evidence: float = 36.0) -> Ordinal:
+def fit_ordinal(table: Sparse, grades: np.ndarray, bits: int, epochs: int = 300, l2: float = 1e-3, chance: float = 0.005) -> Ordinal:
     """Gradient descent (Adam) on the likelihood of P(grade > k) = sigmoid(w.x - theta_k).
 
     Thresholds are theta_1 plus sums of exponentials, so they stay in order.
     Rare grades weigh as much as common ones.
     """
+    evidence = 2 * np.log(max(len(table.used), 2) / chance)
     levels = int(grades.max()) if len(grades) else 0
     if levels == 0 or (grades == 0).all() or (grades > 0).all():
         return Ordinal(np.zeros(1 << bits, np.float32), np.full(1, 20.0), bits)
@@ -106,7 +114,8 @@ def fit_ordinal(table: Sparse, grades: np.ndarray, bits: int, epochs: int = 300,
     rate = hot / np.maximum(hot + cold, 1e-12)
     terms = [k * np.log(np.maximum(x, 1e-12) / y) for k, x, y in ((hot, rate, base), (cold, 1 - rate, 1 - base))]
     kept = np.flatnonzero((rate > 3 * base / (1 + 2 * base)) & (2 * (terms[0] + terms[1]) >= evidence))
-    if not len(kept):  # nothing to go by
+    if not len(kept):
+        warnings.warn("no feature tells toxic from clean labels clearly enough: nothing will be graded toxic", stacklevel=2)
         return Ordinal(np.zeros(1 << bits, np.float32), np.full(1, 20.0), bits)
     column = np.full(len(used), -1, np.int32)
     column[kept] = np.arange(len(kept))
@@ -198,15 +207,10 @@ def _sampled(docs: DataFrame, labels: DataFrame, max_rows: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
 
-def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_features: int = 8000, bits: int = 20) -> Ordinal:
+def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, bits: int = 20) -> Ordinal:
     def hashed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            out = []
-            for text in b["text"]:
-                f = np.unique([h for w in words_of(text) for h in word_features(w, bits)]).astype(np.int32)
-                if len(f) > max_features:
-                    f = f[np.argsort(f.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15), kind="stable")[:max_features]]
-                out.append(f)
+            out = [np.unique(np.fromiter((h for w in words_of(text) for h in word_features(w, bits)), np.int32)) for text in b["text"]]
             yield pd.DataFrame({"doc_id": b["doc_id"], "y": b["y"], "f": [x.tobytes() for x in out]})
 
     ship(docs.sparkSession)
@@ -223,7 +227,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, max_features:
     return fit_ordinal(table, grade(table, labels_), bits)
 
 
-def score(docs: DataFrame, model: Ordinal, cache_words: int = 200_000) -> DataFrame:
+def score(docs: DataFrame, model: Ordinal, cache_words: int = 100_000) -> DataFrame:
     """(all columns of docs, _tx_severity, _tx_grade): expected severity and the likeliest side of each threshold."""
     ship(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(model)
@@ -232,7 +236,9 @@ def score(docs: DataFrame, model: Ordinal, cache_words: int = 200_000) -> DataFr
         m = shared.value
         nz = m.weights != 0
         values = []
-        known = _CACHE.setdefault(id(m), {})
+        if m.name not in _CACHE:  # workers are used again; one model's words are kept at a time
+            _CACHE.clear()
+        known = _CACHE.setdefault(m.name, {})
         for t in text:
             seen: set[int] = set()
             for w in words_of(t):
@@ -252,7 +258,7 @@ def score(docs: DataFrame, model: Ordinal, cache_words: int = 200_000) -> DataFr
     return out.withColumns({"_tx_severity": F.col("_tx.severity"), "_tx_grade": F.col("_tx.grade")}).drop("_tx")
 
 
-_CACHE: dict[int, dict[str, tuple[int, ...]]] = {}
+_CACHE: dict[str, dict[str, tuple[int, ...]]] = {}
 
 
 def keep_clean(docs: DataFrame, labels: DataFrame) -> DataFrame:
