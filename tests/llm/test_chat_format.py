@@ -74,6 +74,47 @@ def test_without_schemas_and_empty(spark):
     assert cf.format_chats(df.limit(0)).count() == 0
 
 
+def test_nulls_and_repeated_rows_are_whole(spark):
+    rows = [
+        (None, 0, "assistant", call(("n", "add", {"a": 1, "b": 2}))),
+        (None, 1, "tool", "  \n" + result("n", "3")),
+        (None, None, "tool", result("n", "4")),
+        (5, 0, "assistant", call(("x", "add", {"a": "one"}))),
+        (5, 0, "assistant", call(("x", "add", {"a": "one"}))),
+        (5, 1, "tool", result("x", "?")),
+        (5, 1, "tool", result("x", "?")),
+        (6, 3, "tool", result("n", "of another conversation")),
+    ]
+    got = sorted(((r.conv_id, r.turn, r.order_turn, r.order_depth, r.link, r.n_calls, r.n_invalid, r.json) for r in cf.format_chats(chats(spark, rows), schemas(spark)).collect()), key=str)
+    assert len(got) == len(rows)
+    assert [g[:7] for g in got] == sorted(
+        [
+            (None, 0, 0, 0, "call", 1, 0), (None, 1, 1, 0, "result", 0, 0), (None, None, 0, 1, "result", 0, 0),
+            *[(5, 0, 0, 0, "call", 1, 1)] * 2, *[(5, 1, 1, 0, "result", 0, 0)] * 2, (6, 3, 3, 0, "unlinked", 0, 0),
+        ],
+        key=str,
+    )
+    assert all("conversation" in json.loads(g[7]) and "turn" in json.loads(g[7]) for g in got if None not in g[:2])
+
+
+def test_long_traces_take_no_rounds_and_reversed_ones_do(spark, monkeypatch):
+    def trace(conv, turns):
+        out = []
+        for i, (a, b) in enumerate(zip(turns[::2], turns[1::2], strict=True)):
+            out += [(conv, a, "assistant", call((f"c{i}", "find", {"q": f"$ref:c{i - 1}"}))), (conv, b, "tool", result(f"c{i}", "r"))]
+        return out
+
+    saved = []
+    keep = cf.Work.save
+    monkeypatch.setattr(cf.Work, "save", lambda self, df, name: saved.append(name) or keep(self, df, name))
+    out = cf.format_chats(chats(spark, trace(1, range(200)))).collect()
+    assert all((r.order_turn, r.order_depth) == (r.turn, 0) for r in out) and len(saved) < 6
+    out = cf.format_chats(chats(spark, trace(1, range(9, -1, -1)) + trace(2, [0, 1, 2, 3]))).collect()
+    order = [r.turn for r in sorted(out, key=lambda r: (r.order_turn, r.order_depth, r.turn)) if r.conv_id == 1]
+    assert order == list(range(9, -1, -1)) and {r.order_turn for r in out if r.conv_id == 1} == {9}
+    assert all((r.order_turn, r.order_depth) == (r.turn, 0) for r in out if r.conv_id == 2)
+
+
 def test_one_long_conversation(spark):
     df = spark.range(3000).select(F.lit(1).cast("bigint").alias("conv_id"), F.col("id").alias("turn"), F.lit("user").alias("role"), F.lit("same").alias("text"))
     assert cf.format_chats(df).count() == 3000
