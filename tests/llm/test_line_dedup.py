@@ -73,10 +73,38 @@ def test_other_columns_stay(spark, messy):
 
 def test_bitmaps_hold_no_text(spark, frame_of):
     assert dict(ld.line_bitmaps(frame_of(ROWS)).dtypes) == {
-        "_ld_doc": "bigint", "_ld_row": "bigint", "_ld_dropped": "bigint", "_ld_words": "array<struct<word:bigint,bits:bigint>>",
+        "_ld_doc": "bigint", "_ld_row": "bigint", "_ld_dropped": "bigint", "_ld_keep": "array<struct<word:bigint,bits:bigint>>",
     }
 
 
+def test_keep_bitmaps(spark, frame_of):
+    """Bits of kept lines are ones, and words that are all ones aren't stored."""
+    shared = [f"shared line number {i} of many" for i in range(300)]
+    rows = [(i, "\n".join(shared[70:75] if i < 3 else [])) for i in range(3)] + [(0, "\n".join(shared))]
+    got = {r["_ld_row"]: r for r in ld.line_bitmaps(frame_of(rows)).where("_ld_doc = 0").collect()}
+    (whole,) = [r for r in got.values() if [w.word for w in r["_ld_keep"]] == [1]]
+    assert {i for i in range(64) if not whole["_ld_keep"][0].bits >> i & 1} == {6, 7, 8, 9, 10} and whole["_ld_dropped"] == 5
+
+
+def test_within_the_document_too(spark, frame_of):
+    rows = [(1, LINE), (2, f"{LINE}\nx"), (3, f"a\n{LINE}\nb\n{LINE}\n{LINE.upper()}"), (3, f"a\n{LINE}\nb\n{LINE}\n{LINE.upper()}")]
+    got = [(r.doc_id, r.text) for r in ld.dedup_lines(frame_of(rows), within_document=True).orderBy("doc_id").collect()]
+    assert got == [(1, ""), (2, "x"), (3, f"a\n{LINE}\nb"), (3, f"a\n{LINE}\nb")]
+
+
+def test_the_sorted_ranges_are_streamed_without_another_shuffle(spark, frame_of, monkeypatch):
+    plans = {}
+    keep = ld.Work.save
+
+    def save(self, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return keep(self, df, name)
+
+    monkeypatch.setattr(ld.Work, "save", save)
+    ld.line_bitmaps(frame_of(ROWS))
+    assert plans["ranged"].count("Exchange") == 1 and "rangepartitioning" in plans["ranged"] and plans["ranged"].count("Window") >= 1
+
+
 @pytest.mark.parametrize("name", ["op1_line_dedup"])
 def test_query_equals_sql(name, spark, sf_dir, duck):
     compare(name, spark, sf_dir, duck)
