@@ -7,21 +7,29 @@ Documents are linked when the Jaccard similarity of their sets of distinct
    which the `k` smallest are the sketch. Documents with equal sets form a class
    at once; only its representative (the smallest doc_id) goes on, so exact copies
    cost nothing, however many there are.
-2. Inverted lists of retained values: a linked pair shares at least `t` of the
-   values that both retain (with k = 64 and t = 36 a pair of similarity 0.85
-   fails that with probability below 1e-8; sets of up to k shingles are kept
-   whole and never fail). So by the prefix principle it shares one among the
-   |sketch| - t + 1 values rarest in the corpus, and only those are indexed; a
-   value that half the corpus retains is reached only by documents that consist
-   of such values.
+2. Inverted lists of retained values. Of the k smallest values of two sets' union,
+   X are in both; all of these are retained by both sketches. For a linked pair X
+   is hypergeometric around percent / 100 * k, so with k = 64 and t = 36 a
+   pair of similarity 0.85 has X < t with probability below 1e-8. That is the only way to
+   miss a pair: sets whose union has up to k shingles are never missed, and with
+   exact=True sketches are whole sets and nothing is. A pair with X >= t shares at least t retained
+   values, so by the prefix principle one among the |sketch| - t + 1 values rarest in the
+   corpus, and only those are indexed; a value that half the corpus retains is
+   reached only by documents that consist of such values.
 3. All documents of a list go to the list's hub, its most connected document. A
    pair that shares a list shares its hub, so comparing within hub groups loses
    nothing, and a document is in as many groups as it has hubs, not lists.
-4. A hub group of more than `block` documents is dealt in blocks, one task unit per
-   pair of blocks, so no task holds an unbounded group. Within a unit, union
-   sketches estimate similarities by matrix product, what passes is
-   verified on the full sets, and only a spanning forest of verified links comes
-   out: at most one row per document of the unit, never all pairs.
+4. Within a group, inverted lists are walked in rising order of value; each posting holds its
+   rank in its sketch, so for every pair on a list it is known whether the value is
+   among the k smallest of their union, and X counts up. Pairs on no common list
+   are never looked at. X >= t (or, where the union has fewer than k values, X itself) is
+   the union sketch's estimate; what passes is verified on the full sets, and only
+   a spanning forest of verified links comes out, never all pairs.
+   A group of more than `block` documents is first compared with its hub alone, in blocks.
+   Documents linked with the hub needn't be compared with each other, as they
+   are in one component already; the others, the rest, are dealt in blocks, one task unit per pair
+   of a block of the rest with any block. So no task holds an unbounded group, and work grows
+   with the group times its rest, not with the square of the group.
 5. Components: smallest-label propagation with pointer jumping over the forests,
    each round written to the shared folder.
 
@@ -159,16 +167,14 @@ def overlaps(a: list[np.ndarray], b: list[np.ndarray], columns: int = 8192) -> n
 
 
 def forest_of_links(
-    docs: list[int], sets: list[np.ndarray], side: np.ndarray, k: int, percent: int, slack: float, crossing: bool
+    sets: list[np.ndarray], side: np.ndarray, k: int, t: int, percent: int, crossing: bool
 ) -> list[tuple[int, int]]:
-    """Verified links that span the components of a unit.
+    """Verified links, as pairs of places, that span the components of a unit.
 
     crossing: only pairs between the two sides count, as pairs within a side are
-    another unit's. Estimates come first: the k smallest values of two sketches'
-    union, and how many of them both hold; pairs below the threshold less `slack` are
-    not verified.
+    another unit's. Estimates come first; pairs that fail them are not verified.
     """
-    n = len(docs)
+    n = len(sets)
     sizes = np.array([len(s) for s in sets], np.int64)
     left = np.flatnonzero(side == 0) if crossing else np.arange(n)
     right = np.flatnonzero(side == 1) if crossing else np.arange(n)
@@ -180,12 +186,10 @@ def forest_of_links(
         able &= np.tri(n, k=-1, dtype=bool)
     if not able.any():
         return []
-    sketches = [s[:k] for s in sets]
-    shared = overlaps([sketches[i] for i in left], [sketches[i] for i in right])
-    kl, kr = np.minimum(sl, k), np.minimum(sr, k)
-    # Of the k smallest of the union, `shared` counts a few too many at worst: an upper estimate of similarity.
-    union = np.maximum(np.minimum(kl + kr - shared, k), 1)
-    able &= shared / union >= percent / 100 - slack
+    shared = shared_of_union([sets[i][:k] for i in left], [sets[i][:k] for i in right], k)
+    # Sets within their sketches have a known union; any other union has k values or more.
+    union = np.where(np.maximum(sl, sr) <= k, np.minimum(sl + sr - shared, k), k)
+    able &= np.where(union < k, 100 * shared >= percent * union, shared >= t)
     rows, cols = np.flatnonzero(able.any(axis=1)), np.flatnonzero(able.any(axis=0))
     if not len(rows):
         return []
@@ -196,31 +200,56 @@ def forest_of_links(
     for a, b in zip(*np.nonzero(linked), strict=True):
         i, j = int(left[rows[a]]), int(right[cols[b]])
         if forest.join(i, j):
-            out.append((docs[i], docs[j]))
+            out.append((i, j))
     return out
 
 
-def _unit_links(k: int, percent: int, slack: float):
-    """Rows (hub, bi, bj, side, doc, shingles), sorted by unit, to verified links; one unit is held at a time."""
+def shared_of_union(a: list[np.ndarray], b: list[np.ndarray], k: int) -> np.ndarray:
+    """Matrix: of the k smallest values of two sorted arrays' union, how many are in both.
+
+    Inverted lists, walked in rising order of value: where a value has rank i in
+    one array and j in the other, i + j - (shared so far) values of the union come before it.
+    """
+    out = np.zeros((len(a), len(b)), np.int64)
+    sizes = np.array([len(x) for x in a] + [len(x) for x in b])
+    values = np.concatenate(a + b)
+    owner = np.repeat(np.arange(len(sizes)), sizes)
+    rank = np.arange(len(values)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    order = np.lexsort((owner, values))
+    values, owner, rank = values[order], owner[order], rank[order]
+    starts = np.flatnonzero(np.diff(values, prepend=values[0] - 1 if len(values) else 0))
+    ends = np.append(starts[1:], len(values))
+    long = (ends - starts > 1) & (owner[starts] < len(a)) & (owner[ends - 1] >= len(a)) if len(values) else np.zeros(0, bool)
+    middles = starts + np.add.reduceat((owner < len(a)).astype(np.int64), starts) if len(values) else starts
+    for s, m, e in zip(starts[long].tolist(), middles[long].tolist(), ends[long].tolist(), strict=True):
+        at = np.ix_(owner[s:m], owner[m:e] - len(a))
+        held = out[at]
+        out[at] = held + (rank[s:m, None] + rank[None, m:e] - held < k)
+    return out
+
+
+def _unit_links(k: int, t: int, percent: int):
+    """Rows (hub, bi, bj, side, doc, of, shingles), sorted by unit, to verified links; one unit is held at a time."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, docs, sets, sides = None, [], [], []
+        key, docs, texts, sets, sides = None, [], [], [], []
 
-        def close() -> list[tuple[int, int]]:
+        def close() -> list[tuple[int, int, int]]:
             if len(docs) < 2:
                 return []
-            return forest_of_links(docs, sets, np.array(sides), k, percent, slack, key[1] != key[2])
+            return [(docs[i], docs[j], texts[i]) for i, j in forest_of_links(sets, np.array(sides), k, t, percent, key[1] != key[2])]
 
         for b in batches:
-            cols = [b.column(c).to_pylist() for c in ("hub", "bi", "bj", "side", "doc", "shingles")]
-            out: list[tuple[int, int]] = []
-            for hub, bi, bj, side, doc, raw in zip(*cols, strict=True):
+            cols = [b.column(c).to_pylist() for c in ("hub", "bi", "bj", "side", "doc", "of", "shingles")]
+            out: list[tuple[int, int, int]] = []
+            for hub, bi, bj, side, doc, of, raw in zip(*cols, strict=True):
                 if (hub, bi, bj) != key:
                     out += close()
-                    key, docs, sets, sides = (hub, bi, bj), [], [], []
+                    key, docs, texts, sets, sides = (hub, bi, bj), [], [], [], []
                 elif docs and docs[-1] == doc and sides[-1] == side and sets[-1].tobytes() == raw:
                     continue  # a repeated row
                 docs.append(doc)
+                texts.append(of)
                 sides.append(side)
                 sets.append(np.frombuffer(raw, np.int64))
             if out:
@@ -231,9 +260,9 @@ def _unit_links(k: int, percent: int, slack: float):
     return run
 
 
-def _links(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+def _links(pairs: list[tuple[int, int, int]]) -> pa.RecordBatch:
     a = np.array(pairs, np.int64)
-    return pa.RecordBatch.from_arrays([pa.array(a[:, 0]), pa.array(a[:, 1])], names=["a", "b"])
+    return pa.RecordBatch.from_arrays([pa.array(a[:, c]) for c in range(3)], names=["a", "b", "of"])
 
 
 def connected_components(edges: DataFrame, work: Work) -> DataFrame:
@@ -267,9 +296,14 @@ def connected_components(edges: DataFrame, work: Work) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, percent: int = 85, k: int = 64, t: int = 36, block: int = 128, block_shingles: int = 500_000, slack: float = 0.29
+    docs: DataFrame, percent: int = 85, k: int = 64, t: int = 36, block: int = 128, block_shingles: int = 500_000, exact: bool = False
 ) -> DataFrame:
-    """(doc, n, component), one row per row of docs; doc is doc_id with null as the least bigint."""
+    """(doc, n, component), one row per row of docs; doc is doc_id with null as the least bigint.
+
+    exact: sketches are whole sets, so no link is missed; all shingles are kept and counted, which costs accordingly.
+    """
+    if exact:
+        k = t = 2**31 - 1
     ship(docs.sparkSession)
     work = Work(docs.sparkSession, "neardup")
     base = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
@@ -306,35 +340,56 @@ def near_duplicates(
         .withColumn("blocks", F.greatest(F.ceil(F.col("w") / F.lit(block)), F.ceil(F.col("load") / F.lit(block_shingles))).cast("int")),
         "groups",
     )
-    own = F.pmod(F.xxhash64("doc", "s1"), F.col("blocks")).cast("int")
-    # Every pair of blocks is a unit; a document takes part in those that its own block is in.
-    units = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda o: F.struct(
-            F.col("hub").alias("hub"), F.least(o, F.col("own")).alias("bi"), F.greatest(o, F.col("own")).alias("bj"), (F.col("own") > o).cast("int").alias("side")
-        ),
-    )
-    candidates = work.save(
-        skew_join(members, groups.drop("load"), ["hub"], "w", "doc")
-        .withColumn("own", own)
-        .select("doc", F.col("s1").alias("of"), units.alias("u"))
-        .groupBy("doc", "of")
-        .agg(F.flatten(F.collect_list("u")).alias("units")),
-        "candidates",
-    )
-    # Texts of candidates are read again and become full sets; the others stay out of the shuffle.
-    full = keep_members(base, "doc", candidates).join(candidates, "doc").mapInArrow(
-        _full, "doc long, of long, s1 long, units array<struct<hub:long,bi:int,bj:int,side:int>>, shingles binary"
-    )
-    links = work.save(
-        full.where("of = s1")
-        .select("doc", "shingles", F.explode("units").alias("u"))
-        .select("u.*", "doc", "shingles")
-        .repartition("hub", "bi", "bj")
-        .sortWithinPartitions("hub", "bi", "bj", "side", "doc")
-        .mapInArrow(_unit_links(k, percent, slack), "a long, b long"),
-        "links",
+    unit = lambda bi, bj, side: F.struct(F.col("hub").alias("hub"), bi.cast("int").alias("bi"), bj.cast("int").alias("bj"), side.cast("int").alias("side"))
+    up_to = lambda n: F.sequence(F.lit(0), n - 1)
+    own = lambda n: F.pmod(F.xxhash64("doc", "s1"), n)
+
+    def compared(dealt: DataFrame, name: str) -> DataFrame:
+        """Links (a, b, of) found in the units of dealt(doc, s1, u); of: the text of a."""
+        candidates = work.save(dealt.groupBy("doc", F.col("s1").alias("of")).agg(F.flatten(F.collect_list("u")).alias("units")), f"candidates_{name}")
+        # Texts of candidates are read again and become full sets; the others stay out of the shuffle.
+        full = keep_members(base, "doc", candidates).join(candidates, "doc").mapInArrow(
+            _full, "doc long, of long, s1 long, units array<struct<hub:long,bi:int,bj:int,side:int>>, shingles binary"
+        )
+        return work.save(
+            full.where("of = s1")
+            .select("doc", "of", "shingles", F.explode("units").alias("u"))
+            .select("u.*", "doc", "of", "shingles")
+            .repartition("hub", "bi", "bj")
+            .sortWithinPartitions("hub", "bi", "bj", "side", "doc")
+            .mapInArrow(_unit_links(k, t, percent), "a long, b long, of long"),
+            f"links_{name}",
+        )
+
+    # A group of one block is one unit. In a larger one, every block meets the hub.
+    of_hub = F.transform(up_to(F.col("blocks")), lambda o: unit(o, F.lit(-1), F.lit(1)))
+    first = (
+        F.when(F.col("blocks") == 1, F.array(unit(F.lit(0), F.lit(0), F.lit(0))))
+        .when(F.col("doc") == F.col("hub"), of_hub)
+        .otherwise(F.array(unit(own(F.col("blocks")), F.lit(-1), F.lit(0))))
     )
+    links = compared(skew_join(members, groups.drop("load"), ["hub"], "w", "doc").select("doc", "s1", first.alias("u")), "hubs")
+    large = groups.where("blocks > 1").select("hub", "w", "blocks")
+    if not large.isEmpty():
+        with_hub = links.select(F.col("a").alias("doc"), F.col("b").alias("hub"), F.col("of").alias("s1"), F.lit(True).alias("done")).distinct()
+        in_large = skew_join(members.drop("n"), large, ["hub"], "w", "doc").where("blocks is not null")
+        state = work.save(
+            in_large.join(with_hub, ["hub", "doc", "s1"], "left").withColumn("rest", (F.col("doc") != F.col("hub")) & F.col("done").isNull()).drop("done"), "state"
+        )
+        # Blocks of the rest and of the others, as large as before.
+        part = lambda n: F.ceil(F.col(n) * F.col("blocks") / F.col("w")).cast("int")
+        rests = work.save(
+            state.groupBy("hub", "w", "blocks").agg(F.count_if("rest").alias("r")).where("r > 0").withColumn("d", F.col("w") - F.col("r"))
+            .select("hub", F.col("w").alias("weight"), part("r").alias("rb"), part("d").alias("db")),
+            "rests",
+        )
+        placed = skew_join(state.select("hub", "doc", "s1", "rest"), rests, ["hub"], "weight", "doc").withColumn("own", own(F.when(F.col("rest"), F.col("rb")).otherwise(F.col("db"))))
+        among = F.transform(up_to(F.col("rb")), lambda o: unit(F.least(o, F.col("own")), F.greatest(o, F.col("own")), F.col("own") > o))
+        across = F.transform(up_to(F.col("db")), lambda o: unit(F.col("own"), F.col("rb") + o, F.lit(0)))
+        others = F.transform(up_to(F.col("rb")), lambda o: unit(o, F.col("rb") + F.col("own"), F.lit(1)))
+        second = placed.select("doc", "s1", F.when(F.col("rest"), F.concat(among, across)).otherwise(others).alias("u"))
+        if not rests.isEmpty():
+            links = links.unionByName(compared(second, "rest"))
     components = connected_components(links, work)
     of_class = work.save(
         classes.join(components, classes["rep"] == components["node"], "left").select("s1", "s2", "members", F.coalesce("label", "rep").alias("component")),

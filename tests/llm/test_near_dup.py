@@ -68,7 +68,8 @@ def test_against_brute_force(spark, frame_of, words):
 
 def test_the_pipelines_threshold(spark, frame_of, words):
     rows = corpus(words, 3)
-    assert run(frame_of(rows), percent=80, t=32, slack=0.3) == brute(rows, 80)
+    assert run(frame_of(rows), percent=80, t=32) == brute(rows, 80)
+    assert run(frame_of(rows), percent=80, exact=True) == brute(rows, 80)
 
 
 def test_estimates_ask_for_no_more_than_t_shared_values():
@@ -80,7 +81,7 @@ def test_estimates_ask_for_no_more_than_t_shared_values():
     for shared in (t - 1, t, t + 2):
         # At exactly the threshold; one set holds the other, and `shared` of the whole's k smallest values are in both.
         part = np.concatenate([whole[:shared], whole[-(10 * percent - shared) :]])
-        links = nd.forest_of_links([1, 2], [whole, part], np.array([0, 0]), k, percent, defaults["slack"], False)
+        links = nd.forest_of_links([whole, part], np.array([0, 0]), k, t, percent, False)
         assert len(links) == (shared >= t)
 
 
@@ -112,6 +113,48 @@ def test_overlaps_equal_set_intersections():
     assert (got == [[len(np.intersect1d(x, y)) for y in b] for x in a]).all()
 
 
+def test_shared_values_of_the_unions_smallest():
+    rng = np.random.default_rng(2)
+    sets = [np.unique(rng.integers(-60, 60, rng.integers(0, 70))) for _ in range(14)]
+    for k in (1, 5, 16, 1000):
+        got = nd.shared_of_union([s[:k] for s in sets[:6]], [s[:k] for s in sets[6:]], k)
+        for i, a in enumerate(sets[:6]):
+            for j, b in enumerate(sets[6:]):
+                assert got[i, j] == len(set(np.union1d(a, b)[:k]) & set(a) & set(b))
+    assert nd.shared_of_union([], [sets[0]], 4).shape == (0, 1)
+
+
+def test_a_group_of_several_kinds_is_whole(spark, frame_of, words):
+    """One common part, so that all meet in one hub group, and kinds that are linked within themselves only."""
+    rnd = random.Random(8)
+    common, rows = words(120, 4), []
+    for kind in range(4):
+        own = words(90, 50 + kind)
+        rows += [(100 * kind + i, f"{common} {mutated(own, rnd.randrange(4), rnd)}") for i in range(30)]
+    rnd.shuffle(rows)
+    want = brute(rows)
+    assert len({c for _, _, c in want}) >= 4
+    for block in (8, 40, 1000):
+        assert run(frame_of(rows), block=block) == want
+
+
+def test_copies_near_the_hub_are_dealt_once(spark, frame_of, words, monkeypatch):
+    """In a group in which all are linked with the hub, every set goes to one unit, whatever the number of blocks."""
+    rows = [(i, words(200, 9) + f" tail{i}") for i in range(300)]
+    sizes = {}
+    keep = nd.Work.save
+
+    def save(self, df, name):
+        out = keep(self, df, name)
+        if name.startswith("candidates"):
+            sizes[name] = out.selectExpr("sum(size(units))").first()[0]
+        return out
+
+    monkeypatch.setattr(nd.Work, "save", save)
+    assert run(frame_of(rows), block=16) == brute(rows)
+    assert sum(sizes.values()) < 2 * len(rows)
+
+
 def test_components(spark):
     from folioscope.llm.common import Work
 
