@@ -9,6 +9,14 @@ pieces          what is left becomes SentencePiece ids
 All stages but the last return the columns of documents. A stage's result is
 written as Parquet and read again, which cuts lineage and lets a lost executor
 cost no more than its own stage.
+
+Defined cases: rows with null or empty texts aren't toxic, have no lines that could go, are linked with
+nothing, and end with no pieces; rows that share doc_id and text are kept or
+dropped together, up to near_dedup, which keeps them if it keeps their id; a null doc_id is one more id, the
+smallest; rows of `labels` without doc_id or label, and of `benchmark` without
+item_id, are ignored; columns beside doc_id and text pass through, save n_chars, which follows
+the text; an empty documents table gives an empty result, and empty labels or an empty benchmark
+reject nothing.
 """
 
 from __future__ import annotations
@@ -32,8 +40,8 @@ def _line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    # Similarity 0.8; the sketch bounds leave a pair at the threshold a chance of about 1e-8 to be missed.
-    return near_dup.keep_one(docs, percent=80, t=32, slack=0.3)
+    # Similarity 0.8, that of stages on word shingles; with t = 32 a pair at the threshold is missed with a chance of 2e-8.
+    return near_dup.keep_one(docs, percent=80, t=32)
 
 
 def _decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
