@@ -30,47 +30,58 @@ def topk_cosine(
     """(query_id, rank, vec_id, score): the k vectors nearest to each query by cosine, rounded to `digits`.
 
     queries(query_id, embedding), vectors(vec_id, embedding). Queries are dealt in
-    blocks of bounded size; each block's matrix is broadcast and multiplied with
+    blocks of about `block` of one dimension; each block's matrix is broadcast and multiplied with
     the vectors batch by batch, and a batch keeps only its k best per query, so what is
-    shuffled grows with partitions, not with pairs. Vectors without length, and
-    queries of another dimension, have no hits.
+    shuffled grows with partitions, not with pairs. Queries and vectors that are null, or have no length
+    or a null in them, have no hits; those of different dimensions don't meet. The vectors are read once
+    per block, so the plan grows with the number of queries: it is meant for thousands of them.
     """
     ship()
-    n = queries.count()
-    numbered = queries.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(max(1, -(-n // block)))))
+    usable = lambda df: df.where(F.col("embedding").isNotNull() & (F.size("embedding") > 0) & ~F.exists("embedding", lambda x: x.isNull()))
+    asked = usable(queries).select("query_id", F.col("embedding").cast("array<double>").alias("embedding"), F.size("embedding").alias("width"))
+    n = {r["width"]: r["n"] for r in asked.groupBy("width").agg(F.count(F.lit(1)).alias("n")).collect()}  # a row per dimension
     found = None
-    for b in range(max(1, -(-n // block))):
-        rows = numbered.where(F.col("_b") == b).select("query_id", "embedding").orderBy("query_id").collect()  # about `block` rows
-        ids = np.array([r["query_id"] for r in rows], np.int64)
-        width = len(rows[0]["embedding"]) if rows else 0
-        good = [r["embedding"] is not None and len(r["embedding"]) == width for r in rows]
-        ids = ids[good] if rows else ids
-        matrix = np.array([r["embedding"] for r, g in zip(rows, good, strict=True) if g], np.float64).reshape(len(ids), width)
-        lengths = np.linalg.norm(matrix, axis=1, keepdims=True)
-        matrix = np.divide(matrix, lengths, out=np.full_like(matrix, np.nan), where=lengths > 0)
-        shared = queries.sparkSession.sparkContext.broadcast((ids, matrix))
-        part = vectors.select("vec_id", "embedding").mapInPandas(_best(shared, k, threshold, digits), "query_id long, vec_id long, score double")
-        found = part if found is None else found.unionByName(part)
+    for width, count in sorted(n.items()):
+        blocks = -(-count // block)
+        own = asked.where(F.col("width") == width).withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(blocks)))
+        part = usable(vectors).where(F.size("embedding") == width).select("vec_id", "embedding")
+        for b in range(blocks):
+            rows = own.where(F.col("_b") == b).select("query_id", "embedding").orderBy("query_id").collect()  # about `block` rows
+            ids = np.array([r["query_id"] for r in rows], np.int64)
+            matrix = np.array([r["embedding"] for r in rows], np.float64).reshape(len(ids), width)
+            shared = queries.sparkSession.sparkContext.broadcast((ids, _unit(matrix)))
+            hits = part.mapInPandas(_best(shared, k, threshold, digits), "query_id long, vec_id long, score double")
+            found = hits if found is None else found.unionByName(hits)
+    if found is None:
+        found = queries.sparkSession.createDataFrame([], "query_id long, vec_id long, score double")
     return rank_hits(found, "query_id", "score", ["vec_id"], k, threshold)
 
 
-def _best(shared, k: int, threshold: float, digits: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+def _unit(rows: np.ndarray) -> np.ndarray:
+    """Rows scaled to length 1; NaN where there is none."""
+    lengths = np.linalg.norm(rows, axis=1, keepdims=True)
+    return np.divide(rows, lengths, out=np.full_like(rows, np.nan), where=lengths > 0)
+
+
+def _best(shared, k: int, threshold: float, digits: int, cells: int = 1 << 22) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Per batch of vectors the k best of each query: by partial selection, with all that tie with the k-th kept until sorted."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, q = shared.value
         for batch in batches:
-            ok = [i for i, e in enumerate(batch["embedding"]) if e is not None and len(e) == q.shape[1]]
-            if not ok or not len(ids):
-                continue
-            vec = batch["vec_id"].to_numpy()[ok]
-            m = np.stack(batch["embedding"].to_numpy()[ok]).astype(np.float64)
-            lengths = np.linalg.norm(m, axis=1, keepdims=True)
-            s = np.round(q @ np.divide(m, lengths, out=np.full_like(m, np.nan), where=lengths > 0).T, digits)
-            s = np.where(np.isnan(s) | (s < threshold), -np.inf, s)
-            for at in range(len(ids)):
-                best = np.lexsort((vec, -s[at]))[:k]
-                best = best[s[at, best] > -np.inf]
-                if len(best):
-                    yield pd.DataFrame({"query_id": ids[at], "vec_id": vec[best], "score": s[at, best]})
+            step = max(1, cells // max(1, len(ids)))
+            for a in range(0, len(batch), step):  # bounds the matrix of scores
+                vec = batch["vec_id"].to_numpy()[a : a + step]
+                m = _unit(np.stack(batch["embedding"].to_numpy()[a : a + step]).astype(np.float64))
+                s = np.round(q @ m.T, digits)
+                s[np.isnan(s) | (s < threshold)] = -np.inf
+                floor = np.partition(s, -k, axis=1)[:, -k] if s.shape[1] > k else np.full(len(ids), -np.inf)
+                row, col = np.nonzero((s >= floor[:, None]) & (s > -np.inf))
+                order = np.lexsort((vec[col], -s[row, col], row))
+                row, col = row[order], col[order]
+                first = np.searchsorted(row, row)
+                kept = np.arange(len(row)) - first < k
+                yield pd.DataFrame({"query_id": ids[row[kept]], "vec_id": vec[col[kept]], "score": s[row[kept], col[kept]]})
 
     return run
 
@@ -84,15 +95,17 @@ def shingle_keys(text: Column, n: int = 3) -> Column:
     return let(F.array_remove(F.split(F.lower(text), "\\s+"), ""), of)
 
 
-def lexical_retrieval(questions: DataFrame, docs: DataFrame, k: int = 3, n: int = 3, threshold: float = 1.0) -> DataFrame:
+def lexical_retrieval(questions: DataFrame, docs: DataFrame, k: int = 3, n: int = 3, threshold: float = 1.0, salts: int = 4) -> DataFrame:
     """(query_id, rank, doc_id, score): documents that share most n-word shingles with a question.
 
     questions(query_id, text), docs(doc_id, text). An equi-join on shingles, which
-    are rare, so work follows the number of matches.
+    are rare, so work follows the number of matches. Should the questions be too many to broadcast,
+    a common phrase is spread: documents' shingles get one of `salts` salts, the questions' all of them.
     """
-    q = questions.select("query_id", F.explode(shingle_keys(F.col("text"), n)).alias("key"))
-    d = docs.select("doc_id", F.explode(shingle_keys(F.col("text"), n)).alias("key"))
-    hits = d.join(q, "key").groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).cast("double").alias("score"))
+    salt = F.pmod(F.xxhash64("doc_id"), F.lit(salts)).cast("int")
+    q = questions.select("query_id", F.explode(shingle_keys(F.col("text"), n)).alias("key")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    d = docs.select("doc_id", F.explode(shingle_keys(F.col("text"), n)).alias("key")).withColumn("salt", salt)
+    hits = d.join(q, ["key", "salt"]).groupBy("query_id", "doc_id").agg(F.count(F.lit(1)).cast("double").alias("score"))
     return rank_hits(hits, "query_id", "score", ["doc_id"], k, threshold).select("query_id", "rank", "doc_id", "score")
 
 

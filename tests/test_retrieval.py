@@ -55,3 +55,20 @@ def test_lookup_precedence(spark):
 def test_hit_text(spark):
     df = spark.createDataFrame([(1, [("x",)]), (2, []), (3, None)], "i int, content array<struct<text:string>>")
     assert [r[0] for r in df.orderBy("i").select(rt.hit_text(F.col("content"))).collect()] == ["x", "", ""]
+
+
+def test_topk_of_mixed_dimensions_nulls_and_many_blocks(spark):
+    rng = np.random.default_rng(1)
+    vectors = [(i, [float(x) for x in rng.integers(-2, 3, 2 + i % 2)]) for i in range(60)] + [(900, None), (901, []), (902, [1.0, None]), (903, [0.0, 0.0])]
+    queries = [(1, None), (2, [1.0, 2.0, 0.5]), (3, [1.0, 0.5]), (4, [0.0, 0.0]), (5, [None, 1.0]), *[(10 + i, v) for i, (_, v) in enumerate(vectors[:20])], (99, [1.0] * 7)]
+    want = {}
+    for q, a in queries:
+        if a and None not in a and any(a):
+            scored = [(round(float(np.dot(a, b) / np.linalg.norm(a) / np.linalg.norm(b)), 6), v) for v, b in vectors if b and None not in b and any(b) and len(b) == len(a)]
+            for rank, (s, v) in enumerate(sorted((x for x in scored if x[0] >= 0), key=lambda x: (-x[0], x[1]))[:4], 1):
+                want[q, rank] = (v, s)
+    df = lambda rows, name: spark.createDataFrame(rows, f"{name} long, embedding array<double>")
+    for block in (3, 2048):
+        got = rt.topk_cosine(df(queries, "query_id"), df(vectors, "vec_id"), 4, block=block).collect()
+        assert {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in got} == want
+    assert rt.topk_cosine(df(queries[:1], "query_id"), df(vectors, "vec_id")).count() == 0
