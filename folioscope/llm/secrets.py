@@ -26,7 +26,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.functions.arrays import let
+from folioscope.functions.arrays import find_all, let
 
 # The patterns of the three base kinds and the shortest value of each.
 KINDS = ["assign", "access", "hex", "entropy"]
@@ -52,19 +52,8 @@ _SPANS = "array<struct<s:int,e:int,v:string>>"
 
 
 def find(text: Column, pattern: str, group: int = 0) -> Column:
-    """All matches as (s, e, v): start, end and the group's text."""
-    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    values = matches if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
-    gaps = F.transform(F.split(text, pattern, -1), lambda g: F.char_length(g))
-    steps = F.arrays_zip(gaps.alias("g"), F.transform(matches, lambda m: F.char_length(m)).alias("m"), values.alias("v"))
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_SPANS).alias("out"))
-
-    def step(acc: Column, x: Column) -> Column:
-        s = acc["at"] + x["g"]
-        e = s + x["m"]
-        return F.struct(e.alias("at"), F.concat(acc["out"], F.array(F.struct(s.alias("s"), e.alias("e"), x["v"].alias("v")))).alias("out"))
-
-    return F.aggregate(F.filter(steps, lambda x: x["m"].isNotNull()), zero, step, lambda acc: acc["out"])
+    """All matches as (s, e, v): start, end and the group's text. Work grows as n log n with the number of matches."""
+    return F.transform(find_all(text, pattern, group), lambda m: F.struct(m["pos"].alias("s"), m["end"].alias("e"), m["value"].alias("v")))
 
 
 def _none() -> Column:
