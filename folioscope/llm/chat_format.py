@@ -297,7 +297,8 @@ def with_tool_messages(conversations: DataFrame) -> DataFrame:
 
 def op4_chat_format(spark, sf_dir: str) -> DataFrame:
     messages = with_tool_messages(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
-    return format_chats(messages, spark.createDataFrame(TOOLS, SCHEMA_TYPE))
+    rows = F.array(*[F.struct(*[F.lit(v).alias(f.name) for v, f in zip(tool, SCHEMA_TYPE, strict=True)]) for tool in TOOLS])
+    return format_chats(messages, spark.range(1).select(F.inline(rows)))  # made on the JVM side
 
 
 OP4_SQL = """
