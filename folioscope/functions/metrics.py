@@ -29,16 +29,15 @@ def bleu(reference: Column, hypothesis: Column) -> Column:
 
     def of(t: Column) -> Column:
         r, h = t["r"], t["h"]
-        total = lambda n: F.greatest(F.lit(1), F.size(h) - (n - 1))
-        unigrams = bag_overlap(ngrams(h, 1), ngrams(r, 1))
+        matches = F.struct(*[bag_overlap(ngrams(h, n), ngrams(r, n)).cast("double").alias(f"m{n}") for n in range(1, 5)])
 
-        def log_precision(n: int) -> Column:
-            matches = bag_overlap(ngrams(h, n), ngrams(r, n)).cast("double")
-            return let(matches, lambda m: F.ln(F.when(m == 0, F.lit(0.1)).otherwise(m) / total(n)))
+        def score(m: Column) -> Column:
+            log_precision = lambda n: F.ln(F.when(m[f"m{n}"] == 0, F.lit(0.1)).otherwise(m[f"m{n}"]) / F.greatest(F.lit(1), F.size(h) - (n - 1)))
+            brevity = F.when(F.size(h) > F.size(r), F.lit(1.0)).when(F.size(h) == 0, F.lit(0.0)).otherwise(F.exp(1 - F.size(r) / F.size(h)))
+            logs = sum((log_precision(n) for n in (2, 3, 4)), log_precision(1)) / 4
+            return F.when(m["m1"] == 0, F.lit(0.0)).otherwise(brevity * F.exp(logs))
 
-        brevity = F.when(F.size(h) > F.size(r), F.lit(1.0)).when(F.size(h) == 0, F.lit(0.0)).otherwise(F.exp(1 - F.size(r) / F.size(h)))
-        logs = sum((log_precision(n) for n in (2, 3, 4)), log_precision(1)) / 4
-        return F.when(unigrams == 0, F.lit(0.0)).otherwise(brevity * F.exp(logs))
+        return let(matches, score)  # each overlap is counted once
 
     return let(F.struct(pysplit(reference).alias("r"), pysplit(hypothesis).alias("h")), of)
 
