@@ -91,7 +91,7 @@ def run_ingest(
         spark.readStream.format("binaryFile").schema(schema).option("pathGlobFilter", glob).option("recursiveFileLookup", "true").load(source)
     )
     root = source.rstrip("/")
-    key = F.regexp_replace(F.col("path"), f"^(file:/*)?/?{root.lstrip('/')}/", "")
+    key = F.regexp_replace(F.col("path"), f"^(file:/*)?/?\\Q{root.lstrip('/')}/\\E", "")
     documents = wanted(files.select(key.alias("key"), stem(key).alias("stem"), "content"), prefix)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
