@@ -2,7 +2,7 @@
 
 BLEU and ROUGE-1/2 are array expressions. ROUGE-L (longest common
 subsequence) and METEOR (alignment) are Arrow UDFs: no built-in expresses them.
-Model-based scores are plug points (`scorer`).
+Model-based scores take any encoder (`functions.encoders`).
 """
 
 from __future__ import annotations
@@ -169,8 +169,8 @@ def guarded(scorer: Scorer) -> Callable[[Column, Column], Column]:
 def score_answers(answered: DataFrame, scorers: dict[str, Scorer] | None = None, use_stemmer: bool = True) -> DataFrame:
     """Metric rows of answered(question, answer, correct_answer?, model_answer, status).
 
-    scorers: functions of two texts for bertscore_f1 and semantic_similarity;
-    null without them. A row with an empty text on either side, and a row for
+    scorers: functions of two texts for bertscore_f1 and semantic_similarity, such as
+    encoders.scorers(); null without them. A row with an empty text on either side, and a row for
     which a scorer raises, has null metrics and a message. Other columns are dropped.
     """
     scorers = scorers or {}

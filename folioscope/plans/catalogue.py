@@ -8,12 +8,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from folioscope.functions import metrics
+from folioscope.functions import encoders, metrics, pdf
 from folioscope.functions.arrays import cosine
 from folioscope.functions.text import base64_line, page_number, stem, strip_prefix
 from folioscope.operators import chunking, merge, recognition, remote, retrieval, searchable
 from folioscope.operators import pages as pg
 from folioscope.plans.tables import answer_pairs, indexed_pages, pages, table
+from folioscope.sources.readers import page_scan
 from folioscope.streaming import ingest
 
 QUERIES: dict = {}
@@ -333,6 +334,30 @@ def searchable_pdfs(spark, sf_dir) -> DataFrame:
     return files.select("doc", F.posexplode(searchable.text_layers(F.col("pdf"))).alias("page_no", "text"))
 
 
+@query(
+    """SELECT conv_id AS doc, CAST(row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS INT) AS page_no,
+  CASE WHEN turn % 3 = 2 THEN '' ELSE 'p' || turn || chr(10) || text END AS text FROM conversations"""
+)
+def overlaid_pdfs(spark, sf_dir) -> DataFrame:
+    """Every conversation as one compressed file, split into its pages again, rendered, overlaid and merged; every third page has no size to scale by."""
+    p = pages(spark, sf_dir)
+    ix = F.row_number().over(Window.partitionBy("doc").orderBy("page_no")) - 1
+    block = lambda text, top: F.struct(text.alias("text"), F.lit(0.0).alias("x_min"), F.lit(top).alias("y_min"), F.lit(90.0).alias("x_max"), F.lit(top + 9).alias("y_max"))
+    number = F.concat(F.lit("p"), F.col("page_no").cast("string"))
+    side = F.when(F.col("page_no") % 3 == 2, 0.0).otherwise(1000.0)
+    found = p.select(
+        "doc", ix.alias("ix"), F.array(block(number, 10.0), block(F.col("text"), 40.0)).alias("lines"), F.struct(side.alias("ocr_width"), side.alias("ocr_height")).alias("dims")
+    )
+    blank = found.select("doc", "ix", F.array().cast(found.schema["lines"].dataType).alias("blocks"), "dims")
+    size = {"jpeg": F.lit(None).cast("binary"), "width": F.lit(595.0), "height": F.lit(842.0)}
+    files = searchable.document_pdfs(searchable.page_pdfs(blank.withColumns(size)), "doc", "ix").select(F.col("doc").cast("string").alias("path"), searchable.compacted(F.col("pdf")).alias("content"))
+    scanned = page_scan(files, pdf.split).select(F.col("path").cast("bigint").alias("doc"), F.col("page_no").alias("ix"), F.col("content").alias("pdf"))
+    drawn = searchable.render_pages(scanned, dpi=10).select("doc", "ix", F.col("image_pdf").alias("pdf"))
+    laid = searchable.overlay_pages(drawn.join(found.withColumnRenamed("lines", "blocks"), ["doc", "ix"]))
+    out = searchable.document_pdfs(laid, "doc", "ix")
+    return out.select("doc", F.posexplode(searchable.text_layers(F.col("pdf"))).alias("page_no", "text"))
+
+
 # Keys, status, registries -------------------------------------------------------------------
 
 
@@ -610,6 +635,28 @@ def metric_guard(spark, sf_dir) -> DataFrame:
     return out.select(F.get("q", 0).cast("bigint").alias("doc"), F.get("q", 1).cast("bigint").alias("page_no"), "correct_answer", "metrics_error")
 
 
+_SLOTS = "list_transform({words}, lambda w: md5(w)[1:2])"
+
+
+@query(
+    f"""WITH {_PAIRS}, t AS (SELECT doc, page_no, {_SLOTS.format(words=_SPACES.format(c="lower(r)"))} AS r, {_SLOTS.format(words=_SPACES.format(c="lower(h)"))} AS h FROM pairs
+), s AS (
+  SELECT doc, page_no, len(list_filter(h, lambda x: list_contains(r, x))) / len(h) AS p, len(list_filter(r, lambda x: list_contains(h, x))) / len(r) AS q,
+    list_sum(list_transform(list_distinct(r), lambda x: len(list_filter(r, lambda y: y = x)) * len(list_filter(h, lambda y: y = x))))
+      / sqrt(list_sum(list_transform(list_distinct(r), lambda x: len(list_filter(r, lambda y: y = x)) ** 2)) * list_sum(list_transform(list_distinct(h), lambda x: len(list_filter(h, lambda y: y = x)) ** 2))) AS c
+  FROM t WHERE len(r) > 0 AND len(h) > 0
+)
+SELECT doc, page_no, round(CASE WHEN p + q > 0 THEN 2 * p * q / (p + q) ELSE 0 END, 5) AS bertscore_f1, round(c, 5) AS semantic_similarity FROM s"""
+)
+def model_scores(spark, sf_dir) -> DataFrame:
+    """Model-based metrics with the stand-in encoder, as score_answers gives them. A word is one of 256 unit vectors, so SQL can count."""
+    pairs = answer_pairs(spark, sf_dir).select(
+        F.to_json(F.array("doc", "page_no")).alias("question"), F.col("reference").alias("answer"), F.col("hypothesis").alias("model_answer"), F.lit("ok").alias("status")
+    )
+    out = metrics.score_answers(pairs, encoders.scorers()).where("metrics_error is null").withColumn("id", F.from_json("question", "array<bigint>"))
+    return out.select(F.get("id", 0).alias("doc"), F.get("id", 1).cast("int").alias("page_no"), *[F.round(m, 5).alias(m) for m in ("bertscore_f1", "semantic_similarity")])
+
+
 # Extension ----------------------------------------------------------------------------------
 
 

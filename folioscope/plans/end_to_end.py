@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from folioscope.config import Settings
 from folioscope.functions import metrics
-from folioscope.functions.encoders import hashed_words
+from folioscope.functions.encoders import hashed_words, scorers
 from folioscope.operators import chunking, recognition, remote, retrieval
 from folioscope.operators import pages as pg
 from folioscope.operators.merge import concat_fragments
@@ -80,7 +80,7 @@ def answer_questions(
     return retrieval.answers(questions, retrieval.contexts(found, "query_id"), generator)
 
 
-def evaluate(answered: DataFrame, scorers: dict | None = None) -> tuple[DataFrame, DataFrame]:
-    """Metric rows of answered questions, and the means of the metrics that have values."""
-    rows = metrics.score_answers(answered, scorers)
+def evaluate(answered: DataFrame, model_scores: dict | None = None) -> tuple[DataFrame, DataFrame]:
+    """Metric rows of answered questions, and the means of the metrics that have values. Model-based ones use the stand-ins, unless given."""
+    rows = metrics.score_answers(answered, scorers() if model_scores is None else model_scores)
     return rows, metrics.mean_metrics(rows)

@@ -1,8 +1,10 @@
 import math
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from folioscope.functions import encoders
 from folioscope.functions import metrics as m
 
 
@@ -77,3 +79,30 @@ def test_scorers_are_plug_points_and_may_fail(spark):
     got = {r.question: r for r in m.score_answers(df, {"bertscore_f1": half}).collect()}
     assert got["q"].bertscore_f1 == 0.5 and got["q"].bleu == 0.0 and got["q"].metrics_error is None
     assert got["r"].metrics_error == "no score" and all(got["r"][x] is None for x in m.METRICS)
+
+
+def test_bertscore_takes_the_best_match_of_each_token():
+    angles = {"east": 0, "north": 90, "between": 45, "west": 180}
+    encode = lambda t: np.array([[math.cos(math.radians(angles[w])) * 3, math.sin(math.radians(angles[w])) * 3] for w in t.split()]).reshape(-1, 2)
+    f1 = encoders.bertscore_f1(encode)
+    half = math.sqrt(0.5)
+    assert f1("east north", "east north") == pytest.approx(1.0)
+    p, r = half, (half + half) / 2
+    assert f1("east north", "between") == pytest.approx(2 * p * r / (p + r))
+    p, r = (1 + half) / 2, (1 + half) / 2
+    assert f1("east north", "east between") == pytest.approx(2 * p * r / (p + r))
+    assert f1("east", "west") == 0.0 and f1("", "east") == 0.0 and f1("east", "") == 0.0
+    words = [f"w{i % 700}" for i in range(3 * encoders.BLOCK + 1)]
+    assert encoders.bertscore_f1(encoders.word_vectors)(" ".join(words[::-1]), " ".join(words)) == pytest.approx(1.0)
+
+
+def test_semantic_similarity_is_a_cosine():
+    of = encoders.semantic_similarity(lambda t: [t.count("a"), t.count("b")])
+    assert of("aab", "b") == pytest.approx(1 / math.sqrt(5)) and of("x", "a") == 0.0
+
+
+def test_model_scores_have_means(spark):
+    rows = [("q", "one two", "two one", "ok"), ("r", "three", "", "error")]
+    scored = m.score_answers(spark.createDataFrame(rows, "question string, answer string, model_answer string, status string"), encoders.scorers())
+    assert {r.metric: r["mean"] for r in m.mean_metrics(scored).collect()}["bertscore_f1"] == pytest.approx(1.0)
+    assert {r.question: r.semantic_similarity for r in scored.collect()} == {"q": pytest.approx(1.0), "r": None}
