@@ -119,7 +119,8 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.coalesce(_dropped_positions(F.col("_ld_keep")), F.array().cast("array<int>"))),
         lambda i: F.get(lines, i),
     )
-    met = marked.where("_ld_may").join(bitmaps, ["_ld_doc", "_ld_row"], "left")
+    # A text has one bitmap, about a hundredth of its size: bitmaps are hashed, and texts aren't sorted to meet them.
+    met = marked.where("_ld_may").join(bitmaps.hint("shuffle_hash"), ["_ld_doc", "_ld_row"], "left")
     counts = [whole[0], F.coalesce("_ld_dropped", F.lit(0).cast("bigint")).alias("_ld_dropped"), F.coalesce(F.col("_ld_dropped") == F.size(lines), F.lit(False)).alias("_ld_empty")]
     text = F.when(F.col("_ld_keep").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text")
     rebuilt = met.select(*[text if c == "text" else F.col(c) for c in docs.columns], *counts)
