@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -80,6 +83,23 @@ class Work:
             _remove(self.spark, self.path(name))
 
 
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """`run` over a partition's batches, after which freed memory goes back to the system.
+
+    Python workers are used again, so what one stage has freed but keeps would stand beside the memory of the next.
+    """
+
+    def outer(batches: Iterator) -> Iterator:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        try:
+            ctypes.CDLL(None).malloc_trim(0)
+        except (AttributeError, OSError):  # not every C library has it
+            pass
+
+    return outer
+
+
 def ascii_lower(c: Column) -> Column:
     """A-Z lower-cased, all else untouched. Pure ASCII takes the fast built-in."""
     return F.when(F.octet_length(c) == F.char_length(c), F.lower(c)).otherwise(

@@ -50,7 +50,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import Work, keep_members, ship, skew_join
+from folioscope.llm.common import Work, keep_members, ship, skew_join, trimmed
 
 SHINGLE = 5
 _NO_ID = -(2**63)
@@ -307,7 +307,7 @@ def near_duplicates(
     ship(docs.sparkSession)
     work = Work(docs.sparkSession, "neardup")
     base = docs.select(F.coalesce(F.col("doc_id").cast("bigint"), F.lit(_NO_ID)).alias("doc"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    sketched = work.save(base.mapInArrow(_sketched(k), "doc long, n long, s1 long, s2 long, sketch array<long>"), "sketched")
+    sketched = work.save(base.mapInArrow(trimmed(_sketched(k)), "doc long, n long, s1 long, s2 long, sketch array<long>"), "sketched")
     filled = sketched.where("n > 0")
     classes = work.save(filled.groupBy("s1", "s2").agg(F.min("doc").alias("rep"), F.count(F.lit(1)).alias("members")), "classes")
     reps = filled.join(classes.select("s1", "s2", F.col("rep").alias("doc")), ["s1", "s2", "doc"], "left_semi").dropDuplicates(["s1", "s2", "doc"])
@@ -349,7 +349,7 @@ def near_duplicates(
         candidates = work.save(dealt.groupBy("doc", F.col("s1").alias("of")).agg(F.flatten(F.collect_list("u")).alias("units")), f"candidates_{name}")
         # Texts of candidates are read again and become full sets; the others stay out of the shuffle.
         full = keep_members(base, "doc", candidates).join(candidates, "doc").mapInArrow(
-            _full, "doc long, of long, s1 long, units array<struct<hub:long,bi:int,bj:int,side:int>>, shingles binary"
+            trimmed(_full), "doc long, of long, s1 long, units array<struct<hub:long,bi:int,bj:int,side:int>>, shingles binary"
         )
         return work.save(
             full.where("of = s1")
@@ -357,7 +357,7 @@ def near_duplicates(
             .select("u.*", "doc", "of", "shingles")
             .repartition("hub", "bi", "bj")
             .sortWithinPartitions("hub", "bi", "bj", "side", "doc")
-            .mapInArrow(_unit_links(k, t, percent), "a long, b long, of long"),
+            .mapInArrow(trimmed(_unit_links(k, t, percent)), "a long, b long, of long"),
             f"links_{name}",
         )
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import ship
+from folioscope.llm.common import ship, trimmed
 
 _MARK = "▁"
 _PART = re.compile(f" *[^ \n{_MARK}]+|\n|{_MARK}| +")
@@ -467,7 +467,7 @@ def encode(docs: DataFrame, model_path: str, p: float = 0.1, seed: int = 17) ->
                 yield pa.RecordBatch.from_arrays([b.column("doc_id"), ids, pa.array(back)], names=["doc_id", "ids", "lossless"])
 
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, ids array<int>, lossless boolean")
+    return rows.mapInArrow(trimmed(run), "doc_id long, ids array<int>, lossless boolean")
 
 
 def decode(encoded: DataFrame, model_path: str) -> DataFrame:

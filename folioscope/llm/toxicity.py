@@ -41,7 +41,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from folioscope.llm.common import ship
+from folioscope.llm.common import ship, trimmed
 
 _WORD = re.compile(r"\w+")
 
@@ -217,7 +217,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = 6000, bits: int = 20
     found = (
         _sampled(docs, labels, max_rows)
         .dropDuplicates(["doc_id"])
-        .mapInPandas(hashed, "doc_id long, y int, f binary")
+        .mapInPandas(trimmed(hashed), "doc_id long, y int, f binary")
         .orderBy("doc_id")
         .collect()
     )
