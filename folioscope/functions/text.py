@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from folioscope.shipping import ship
+
 #: White space of str.strip() and str.split(): Unicode white space and the four separators. Fixed values.
 SPACE = "[\\s\\x1c-\\x1f]"
 
@@ -58,6 +61,20 @@ def base64_line(c: Column) -> Column:
     return F.regexp_replace(F.base64(c), "[\\r\\n]", "")
 
 
+def fixed(value: Column, digits: int) -> Column:
+    """A double as %.nf of Python and C: its exact binary value rounded, ties to even; null if it is null.
+
+    Java's formatter, behind format_string, rounds the shortest decimal that reads as the double: 0.39215, which
+    is a little less than that, becomes 0.3922 there and 0.3921 here.
+    """
+    ship()
+
+    def run(values: pd.Series) -> pd.Series:
+        return pd.Series([f"{x:.{digits}f}" for x in values.tolist()], dtype=object)
+
+    return F.when(value.isNotNull(), F.pandas_udf(run, "string")(value.cast("double")))
+
+
 def json_lines(body: Column) -> Column:
     """Parsed lines of an NDJSON text as an array of variants; blank and malformed lines are skipped."""
     return F.filter(

@@ -10,11 +10,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from folioscope.functions.arrays import let
+from folioscope.functions.text import fixed
 from folioscope.shipping import ship
 
 #: Answer when nothing was found, and the line that introduces a source. Fixed values.
 NO_HITS = "В базе нет релевантной информации по этому вопросу."
-SOURCE = "Источник %d (score=%.4f, файл=%s):\n%s"
+SOURCE = "Источник %d (score=%s, файл=%s):\n%s"
 
 
 def rank_hits(hits: DataFrame, query: str, score: str, ids: list[str], k: int = 10, threshold: float = 0.0) -> DataFrame:
@@ -110,8 +111,8 @@ def lexical_retrieval(questions: DataFrame, docs: DataFrame, k: int = 3, n: int
 
 
 def contexts(ranked: DataFrame, query: str) -> DataFrame:
-    """(query, context, n_hits): numbered sources joined by blank lines. ranked(query, rank, score, filename, text)."""
-    line = F.format_string(SOURCE, "rank", "score", "filename", F.coalesce("text", F.lit("")))
+    """(query, context, n_hits): numbered sources joined by blank lines, scores as %.4f. ranked(query, rank, score, filename, text)."""
+    line = F.format_string(SOURCE, "rank", fixed(F.col("score"), 4), "filename", F.coalesce("text", F.lit("")))
     parts = F.array_sort(F.collect_list(F.struct("rank", line.alias("line"))))
     return ranked.groupBy(query).agg(F.array_join(F.transform(parts, lambda x: x["line"]), "\n\n").alias("context"), F.count(F.lit(1)).alias("n_hits"))
 

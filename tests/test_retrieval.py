@@ -1,8 +1,10 @@
 import numpy as np
 import pytest
+from oracle import rows_of, rows_of_sql
 from pyspark.sql import functions as F
 
 from folioscope.operators import retrieval as rt
+from folioscope.plans import catalogue
 
 
 def test_topk_equals_brute_force(spark):
@@ -38,6 +40,23 @@ def test_context_and_answers(spark):
     assert got == {1: "one!", 2: rt.NO_HITS}
 
 
+def test_context_scores_are_rounded_from_their_binary_value(spark, duck):
+    scores = [0.39215, 0.39225, 0.38835, 0.03125, 0.09375, 0.99995, 0.00005, 2.5, 0.0, -0.00001, 1e12 + 0.03125, 1e23, *np.round(np.random.default_rng(2).random(300), 5).tolist()]
+    hits = spark.createDataFrame([(1, i, s, "f", "t") for i, s in enumerate(scores, 1)] + [(2, 1, None, "f", "t")], "query_id int, rank int, score double, filename string, text string")
+    got = {r.query_id: r.context for r in rt.contexts(hits, "query_id").collect()}
+    assert got[1].split("\n\n") == [f"Источник {i} (score={s:.4f}, файл=f):\nt" for i, s in enumerate(scores, 1)]
+    assert [duck.execute("SELECT printf('%.4f', CAST(? AS DOUBLE))", [s]).fetchone()[0] for s in scores] == [f"{s:.4f}" for s in scores]
+    assert got[2] == "Источник 1 (score=null, файл=f):\nt"
+
+
+def test_context_block_on_scores_that_end_in_a_five(spark, duck, tmp_path):
+    rows = [(0, [1.0, 0.0])] + [(i, [s, (1 - s * s) ** 0.5]) for i, s in enumerate([0.39215, 0.38835, 0.61945, 0.70175, 0.15005], 1)]
+    spark.createDataFrame(rows, "vec_id long, embedding array<double>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    con = duck.cursor()
+    con.execute(f"CREATE TEMP VIEW embeddings AS SELECT * FROM '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert rows_of(catalogue.QUERIES["context_block"](spark, str(tmp_path))) == rows_of_sql(con, catalogue.SQL["context_block"])
+
+
 def test_lookup_precedence(spark):
     reg = spark.createDataFrame([(0, "n", "d", "old"), (1, "n", "d", "new"), (2, "m", "e", "other")], "ord int, name string, dataset_dir string, vector_store_id string")
     assert rt.resolve_index(reg, index_id="given", name="n") == "given"
