@@ -31,22 +31,22 @@ def wanted(keys: DataFrame, prefix: str, key: str = "key") -> DataFrame:
     return keys.where(F.startswith(F.col(key), F.lit(prefix))) if prefix else keys
 
 
-def status_rows(keys: DataFrame, status: Column, error: Column | None = None) -> DataFrame:
+def status_rows(keys: DataFrame, status: Column, error: Column | None = None, *kept: str) -> DataFrame:
     none = F.lit(None).cast("string")
-    return keys.select(F.col("key").alias("system_key"), status.alias("status"), F.left(none if error is None else error, F.lit(1000)).alias("error_message"))
+    return keys.select(F.col("key").alias("system_key"), status.alias("status"), F.left(none if error is None else error, F.lit(1000)).alias("error_message"), *kept)
 
 
-def transitions(outcome: DataFrame) -> DataFrame:
-    """Both status rows of each key of outcome(key, error): processing, then done or failed with the error."""
-    start = status_rows(outcome, F.lit("ocr_processing")).withColumn("step", F.lit(0))
-    end = status_rows(outcome, F.when(F.col("error").isNull(), "ocr_done").otherwise("failed"), F.col("error")).withColumn("step", F.lit(1))
-    return start.unionByName(end)
+def transitions(outcome: DataFrame, *ids: str) -> DataFrame:
+    """Both status rows of each row of outcome(key, error, ids): processing, then done or failed with the error."""
+    both = outcome.withColumn("step", F.explode(F.array(F.lit(0), F.lit(1))))
+    end = F.when(F.col("error").isNull(), "ocr_done").otherwise("failed")
+    return status_rows(both, F.when(F.col("step") == 0, "ocr_processing").otherwise(end), F.when(F.col("step") == 1, F.col("error")), *ids, "step")
 
 
-def latest_status(statuses: DataFrame) -> DataFrame:
-    """The last status of each key by (batch_id, step)."""
+def latest_status(statuses: DataFrame, *ids: str) -> DataFrame:
+    """The last status by (batch_id, step) of each key; with ids, which tell runs of one key apart, of each run."""
     last = F.max(F.struct("batch_id", "step", "status", "error_message")).alias("x")
-    return statuses.groupBy("system_key").agg(last).select("system_key", "x.status", "x.error_message")
+    return statuses.groupBy(*ids, "system_key").agg(last).select("system_key", "x.status", "x.error_message", *ids)
 
 
 def send_statuses(statuses: DataFrame, make_sender: Callable[[], Callable[[dict], int]]) -> DataFrame:

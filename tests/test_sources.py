@@ -1,10 +1,12 @@
 import json
 
 import pytest
+from oracle import rows_of, rows_of_sql
 from pyspark.sql import functions as F
 
 from folioscope.config import Settings
 from folioscope.functions import metrics
+from folioscope.plans import catalogue
 from folioscope.sources import readers, writers
 from folioscope.streaming import ingest
 
@@ -122,6 +124,27 @@ def test_stream_of_documents(spark, tmp_path):
     assert spark.read.parquet(str(target / "results")).count() == 3
 
 
+def test_final_status_of_urls_that_rows_share(spark, duck, tmp_path):
+    rows = [(0, "u"), (1, "u"), (2, "u"), (5, "u"), (5, "u"), (6, None), (10, None), (None, "u"), (None, None), (7, ""), (-5, "v")]
+    spark.createDataFrame(rows, "page_id long, url string").repartition(3).write.parquet(str(tmp_path / "pages.parquet"))
+    con = duck.cursor()
+    con.execute(f"CREATE TEMP VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    got = rows_of(catalogue.QUERIES["final_status"](spark, str(tmp_path)))
+    assert got == rows_of_sql(con, catalogue.SQL["final_status"])
+    assert len(got[1]) == len(rows)
+
+
+def test_statuses_of_a_key_and_of_its_runs(spark):
+    df = spark.createDataFrame([("a", "e" * 2000, 1), ("a", None, 2), ("b", "bad", 3)], "key string, error string, batch_id int")
+    moves = ingest.transitions(df, "batch_id")
+    assert sorted((r.system_key, r.batch_id, r.step, r.status, r.error_message) for r in moves.where("batch_id > 1").collect()) == [
+        ("a", 2, 0, "ocr_processing", None), ("a", 2, 1, "ocr_done", None), ("b", 3, 0, "ocr_processing", None), ("b", 3, 1, "failed", "bad"),
+    ]
+    assert {tuple(r) for r in ingest.latest_status(moves).collect()} == {("a", "ocr_done", None), ("b", "failed", "bad")}
+    runs = moves.withColumnRenamed("batch_id", "run").withColumn("batch_id", F.lit(0))
+    assert {tuple(r) for r in ingest.latest_status(runs, "run").collect()} == {("a", "failed", "e" * 1000, 1), ("a", "ocr_done", None, 2), ("b", "failed", "bad", 3)}
+
+
 def test_stream_of_windows(spark, sf_dir, tmp_path):
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
     (tmp_path / "events").mkdir()
